@@ -92,15 +92,13 @@ def backtest_summary(costs: DataFrame, capacity_mw: float = CAPACITY_MW) -> Data
     """Totals of a B4/B5 row frame: always-on, guided, savings, hours
     curtailed (guided cost exactly 0, as in the reference) and hours at
     reduced load."""
-    has_load = "guided_load" in costs.columns
-    return costs.agg(
-        F.sum("always_on_cost").alias("total_always_on"),
-        F.sum("guided_cost").alias("total_guided"),
-        (F.sum("always_on_cost") - F.sum("guided_cost")).alias("savings"),
-        F.count_if(F.col("guided_cost") == 0).alias("hours_curtailed"),
-        (F.count_if(F.col("guided_load") < capacity_mw) if has_load else F.lit(None).cast("long"))
-        .alias("hours_reduced"),
-        F.count(F.lit(1)).alias("n_rows"))
+    aggs = [F.sum("always_on_cost").alias("total_always_on"),
+            F.sum("guided_cost").alias("total_guided"),
+            (F.sum("always_on_cost") - F.sum("guided_cost")).alias("savings"),
+            F.count_if(F.col("guided_cost") == 0).alias("hours_curtailed")]
+    if "guided_load" in costs.columns:
+        aggs.append(F.count_if(F.col("guided_load") < capacity_mw).alias("hours_reduced"))
+    return costs.agg(*aggs, F.count(F.lit(1)).alias("n_rows"))
 
 
 # ---------------------------------------------------------------------------
