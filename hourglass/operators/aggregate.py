@@ -93,10 +93,8 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _attach(one_row: DataFrame, other_one_row: DataFrame) -> DataFrame:
-    """Attach two single-row frames side by side through a constant key."""
-    a = one_row.withColumn("_k", F.lit(1))
-    b = other_one_row.withColumn("_k", F.lit(1))
-    return a.join(F.broadcast(b), "_k").drop("_k")
+    """Attach the columns of another one-row frame as scalar subqueries."""
+    return one_row.select("*", *[other_one_row.select(c).scalar().alias(c) for c in other_one_row.columns])
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], ts_col: str) -> DataFrame:

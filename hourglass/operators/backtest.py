@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize_small
 from .sweep import first_best, threshold_sums
 
 # --- fixed values that must equal the reference's --------------------------
@@ -243,7 +244,7 @@ def compare_mining(df: DataFrame, rt: str = "rt", dam: str = "dam", lag_rt: str
                  F.count_if(m & fp_row).alias(f"{i}__false_positives"),
                  F.coalesce(F.sum(F.when(m & fp_row, (F.lit(revenue) - r) * F.lit(capacity_mw))),
                             F.lit(0.0)).alias(f"{i}__fp_cost")]
-    wide = df.agg(*aggs)
+    wide = materialize_small(df.agg(*aggs))   # one row, read by several branches
     names = [n for n, _ in masks]
     body = _unpivot(wide, names, ["savings", "hours_curtailed", "false_positives", "fp_cost"])
     body = _with_scalar(body, wide, ["_oracle", "_oracle_hours"])
@@ -269,10 +270,9 @@ def compare_mining(df: DataFrame, rt: str = "rt", dam: str = "dam", lag_rt: str
 
 
 def _with_scalar(df: DataFrame, one_row: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Attach columns of a one-row aggregate through a constant-key broadcast join."""
-    a = df.withColumn("_k", F.lit(1))
-    b = one_row.select(*cols).withColumn("_k", F.lit(1))
-    return a.join(F.broadcast(b), "_k").drop("_k")
+    """Attach columns of a one-row aggregate as scalar subqueries (evaluated
+    once; no join, no nested loop)."""
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in cols])
 
 
 def compare_datacenter(df: DataFrame, rt: str = "rt", dam: str = "dam", lag_rt: str = "lag_rt",
@@ -298,7 +298,7 @@ def compare_datacenter(df: DataFrame, rt: str = "rt", dam: str = "dam", lag_rt:
     for i, (_, m) in enumerate(masks):
         aggs += [F.coalesce(F.sum(F.when(m, full_cost - half_cost)), F.lit(0.0)).alias(f"{i}__savings"),
                  F.count_if(m).alias(f"{i}__hours_curtailed")]
-    wide = df.agg(*aggs)
+    wide = materialize_small(df.agg(*aggs))   # one row, read by several branches
     names = [n for n, _ in masks]
     body = _with_scalar(_unpivot(wide, names, ["savings", "hours_curtailed"]), wide,
                         ["_oracle", "_oracle_hours"])
@@ -357,7 +357,7 @@ def five_strategy_mining(df: DataFrame, rt: str = "rt", pred_price: str = "pred_
     n = len(rows)
     aggs += [F.coalesce(F.sum(F.least(net, F.lit(0.0))), F.lit(0.0)).alias(f"{n}__total_cost"),
              F.count_if(_true(r > F.lit(revenue))).alias(f"{n}__hours_curtailed")]
-    wide = df.agg(*aggs)
+    wide = materialize_small(df.agg(*aggs))   # one row, read by several branches
     names = [f"{s}|{p}" for s, p, _ in rows] + ["E: Oracle|-"]
     long = _with_scalar(_unpivot(wide, names, ["total_cost", "hours_curtailed"]), wide,
                         ["_total", "_oracle_cost"])
@@ -403,7 +403,7 @@ def five_strategy_datacenter(df: DataFrame, rt: str = "rt", pred_price: str = "p
     for i, (_, _, cost, m) in enumerate(rows):
         aggs += [F.coalesce(F.sum(cost), F.lit(0.0)).alias(f"{i}__total_cost"),
                  F.count_if(m).alias(f"{i}__hours_reduced")]
-    wide = df.agg(*aggs)
+    wide = materialize_small(df.agg(*aggs))   # one row, read by several branches
     names = [f"{s}|{p_}" for s, p_, _, _ in rows]
     long = _with_scalar(_unpivot(wide, names, ["total_cost", "hours_reduced"]), wide, ["_total"])
     long = long.withColumn("savings_vs_A", F.col("_total") - F.col("total_cost"))
@@ -439,7 +439,7 @@ def fp_analysis(df: DataFrame, rt: str = "rt", pred_price: str = "pred_price",
                  F.count_if(fp).alias(f"{i}__fp_hours"),
                  F.coalesce(F.sum(F.when(fp, (F.lit(revenue) - r) * F.lit(capacity_mw))), F.lit(0.0))
                  .alias(f"{i}__lost_revenue")]
-    wide = df.agg(*aggs)
+    wide = materialize_small(df.agg(*aggs))   # one row, read by several branches
     long = _unpivot(wide, [str(t) for t in thresholds],
                     ["hours_curtailed", "tp_hours", "avoided_cost", "fp_hours", "lost_revenue"],
                     label="threshold")
@@ -537,8 +537,8 @@ def calibrated_fold_backtest(df: DataFrame, pos_col: str, n_rows: int, pred_prc:
     tune = df.where(F.col(pos_col) < half)
     test = df.where(F.col(pos_col) >= half)
     sweep = optimize_prc_thresholds(tune, pred_prc, rt, use_case)
-    best = sweep.where(F.col("is_best") == 1).select("scarcity_threshold", "tight_threshold",
-                                                     F.col("savings").alias("tune_savings"))
+    best = materialize_small(sweep.where(F.col("is_best") == 1).select(
+        "scarcity_threshold", "tight_threshold", F.col("savings").alias("tune_savings")))
     t = _with_scalar(test, best, ["scarcity_threshold", "tight_threshold", "tune_savings"])
     p, s, tt = _c(pred_prc), F.col("scarcity_threshold"), F.col("tight_threshold")
     r = _c(rt)

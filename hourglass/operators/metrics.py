@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import price_tier
+from ..session import materialize_small
 from .sweep import interval_index
 
 # --- fixed values that must equal the reference's --------------------------
@@ -79,6 +80,7 @@ def report_from_counts(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     over the classes present in actual or predicted, plus ``macro avg``,
     ``weighted avg`` and ``accuracy`` rows."""
     by = list(by)
+    cm = materialize_small(cm)   # classes^2 rows, read by several branches below
     sup = cm.groupBy(*by, F.col("actual").alias("label")).agg(F.sum("n").alias("support"))
     prd = cm.groupBy(*by, F.col("pred").alias("label")).agg(F.sum("n").alias("n_pred"))
     tp = cm.where(F.col("actual") == F.col("pred")).groupBy(*by, F.col("actual").alias("label")) \
@@ -165,8 +167,9 @@ def threshold_for_recall(df: DataFrame, actual: str, base_pred: str, p_target: s
     d = df.where(F.col(actual).isNotNull() & F.col(base_pred).isNotNull())
     s = F.col(p_target)
     j = F.when(s.isNull(), F.lit(0)).otherwise(interval_index(s, ts, "ge"))
-    hist = d.groupBy(j.alias("_j"), F.col(actual).alias("actual"), F.col(base_pred).alias("base")) \
-            .agg(F.count(F.lit(1)).alias("n"))
+    hist = materialize_small(
+        d.groupBy(j.alias("_j"), F.col(actual).alias("actual"), F.col(base_pred).alias("base"))
+         .agg(F.count(F.lit(1)).alias("n")))
     spark = df.sparkSession
     grid = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "_i int, threshold double")
     # a row overrides at threshold i iff i < j: every histogram row (at most

@@ -130,7 +130,9 @@ def with_position(df: DataFrame, order_cols: Sequence[str] | str,
     d = order_blocks(df, order[0], n, "_hg_blk")
     wloc = Window.partitionBy(*series, "_hg_blk").orderBy(*order)
     d = d.withColumn("_hg_loc", F.row_number().over(wloc) - 1)
-    counts = d.groupBy(*series, "_hg_blk").agg(F.count(F.lit(1)).alias("_hg_n"))
+    # counts come from the numbered frame itself, so both branches share one
+    # exchange (the source is scanned and shuffled once)
+    counts = d.groupBy(*series, "_hg_blk").agg((F.max("_hg_loc") + 1).alias("_hg_n"))
     w = _series_window(series).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
     offsets = counts.select(*series, "_hg_blk",
                             F.coalesce(F.sum("_hg_n").over(w), F.lit(0)).alias("_hg_off"))

@@ -49,9 +49,8 @@ def DY(body: str, *extra: str) -> str:
 
 
 def scalar_attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (constant-key
-    broadcast equi-join; the one-row side is bounded by construction)."""
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(one_row.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    """Attach the columns of a one-row aggregate as scalar subqueries."""
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
 # thresholds as loaded at scoring time (tight 6,750 MW; mining price $40)

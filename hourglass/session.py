@@ -56,3 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize_small(df):
+    """Compute a small intermediate result once and cut its lineage.
+
+    Used for tables bounded by classes, thresholds or strategies that several
+    branches of a plan read (otherwise each branch would re-run the whole
+    upstream pipeline).  A reliable checkpoint in the shared checkpoint
+    folder survives executor loss; ``localCheckpoint`` is never used.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
