@@ -3,7 +3,6 @@ normalised to NULL at the scan."""
 
 from __future__ import annotations
 
-import glob as _glob
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,8 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from ..functions.numeric import nan_to_null
 
+CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -46,34 +47,45 @@ def scan_parquet_glob(spark: SparkSession, pattern: str, schema: StructType | No
     return normalize_nan(df)
 
 
+def bronze_ingest(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """S1 (batch form): every file under ``path`` with schema evolution
+    (``mergeSchema``: a superset schema, missing columns NULL), stamped with
+    ingestion time and source file."""
+    r = spark.read.option("mergeSchema", "true")
+    if schema is not None:
+        r = r.schema(schema)
+    df = r.parquet(path)
+    return normalize_nan(df).withColumn("_ingested_at", F.current_timestamp()) \
+        .withColumn("source_file", F.col("_metadata.file_path"))
+
+
 def scan_csv_multi(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
                    header: bool = True, with_source: bool = False) -> DataFrame:
     """N CSV files (list or glob) with an explicit schema, one scan."""
     df = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+          .option("timestampNTZFormat", CSV_TS_FORMAT)
           .csv(paths if isinstance(paths, str) else list(paths)))
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return normalize_nan(df)
 
 
-def scan_mixed_format(spark: SparkSession, csv_paths: Sequence[str], parquet_paths: Sequence[str],
+def scan_mixed_format(spark: SparkSession, csv_paths: str | Sequence[str], parquet_paths: str | Sequence[str],
                       schema: StructType) -> DataFrame:
-    """S3: one feed delivered as both CSV and parquet files -> one frame."""
+    """S3: one feed delivered as both CSV and parquet files -> one frame.
+    Paths may be globs; Spark expands them on the cluster's file system."""
     parts = []
     if csv_paths:
-        parts.append(scan_csv_multi(spark, list(csv_paths), schema))
+        parts.append(scan_csv_multi(spark, csv_paths, schema))
     if parquet_paths:
-        parts.append(normalize_nan(spark.read.parquet(*parquet_paths)))
+        pq = [parquet_paths] if isinstance(parquet_paths, str) else list(parquet_paths)
+        parts.append(normalize_nan(spark.read.schema(schema).parquet(*pq)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
-def expand_glob(pattern: str) -> list[str]:
-    return sorted(_glob.glob(pattern))
-
-
 def normalize_variants(df: DataFrame, variants: dict[str, Sequence[str]]) -> DataFrame:
     """Case-fold column names, then map each canonical column to the first
     variant present (decided on the driver from ``df.columns`` - metadata
