@@ -19,9 +19,9 @@ def _write(path, text):
 def test_scan_csv_multi_and_mixed(spark, tmpdir_path):
     d = tmpdir_path
     _write(f"{d}/a.csv", "SettlementPointName,DeliveryDate,DeliveryHour,DeliveryInterval,SettlementPointPrice\n"
-                         "HB_WEST,2024-01-01,1,1,10.0\nHB_WEST,2024-01-01,1,2,12.0\nHB_NORTH,2024-01-01,1,1,9.0\n")
+                         "HUB_A,2024-01-01,1,1,10.0\nHUB_A,2024-01-01,1,2,12.0\nHUB_B,2024-01-01,1,1,9.0\n")
     _write(f"{d}/b.csv", "SettlementPointName,DeliveryDate,DeliveryHour,DeliveryInterval,SettlementPointPrice\n"
-                         "HB_WEST,2024-01-01,2,1,bad\n")
+                         "HUB_A,2024-01-01,2,1,bad\n")
     schema = StructType([StructField("SettlementPointName", StringType()), StructField("DeliveryDate", StringType()),
                          StructField("DeliveryHour", IntegerType()), StructField("DeliveryInterval", IntegerType()),
                          StructField("SettlementPointPrice", DoubleType())])
@@ -30,7 +30,7 @@ def test_scan_csv_multi_and_mixed(spark, tmpdir_path):
     assert df.where(F.col("SettlementPointPrice").isNull()).count() == 1   # bad numeric -> NULL
     assert df.select("source_file").distinct().count() == 2
     pq = f"{d}/pq"
-    spark.createDataFrame([("HB_WEST", "2024-01-02", 1, 1, 5.0)], schema).write.parquet(pq)
+    spark.createDataFrame([("HUB_A", "2024-01-02", 1, 1, 5.0)], schema).write.parquet(pq)
     mixed = SRC.scan_mixed_format(spark, [f"{d}/a.csv"], [pq], schema)
     assert mixed.count() == 4
 
