@@ -620,7 +620,7 @@ def ts_folds(spark, sf):
 
 
 @q("class_weights", IV("""
-SELECT regime, CASE regime WHEN 'Scarcity' THEN 40.0 WHEN 'Surplus' THEN 5.0 ELSE 1.0 END AS weight,
+SELECT regime, CAST(CASE regime WHEN 'Scarcity' THEN 40 WHEN 'Surplus' THEN 5 ELSE 1 END AS DOUBLE) AS weight,
        count(*) AS n FROM ivr WHERE regime IS NOT NULL GROUP BY 1"""))
 def class_weights(spark, sf):
     from ..operators.models import class_weight_expr
