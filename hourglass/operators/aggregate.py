@@ -52,8 +52,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     fetched to the driver to place the positions.
     """
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    n = vals.count()
     spark = df.sparkSession
+    # tied values are interchangeable, so the order among them is irrelevant;
+    # the row count arrives with the block bounds (one pass)
+    pos, n = with_position(vals, ["_v"], None, "_p", with_count=True)
     if n == 0:
         return spark.createDataFrame([(float(q), None) for q in probs], "q double, value double")
     need = []
@@ -63,8 +65,6 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
         hi = min(lo + 1, n - 1)
         need.append((float(q), lo, hi, h - lo))
     idx = sorted({i for _, lo, hi, _ in need for i in (lo, hi)})
-    # tied values are interchangeable, so the order among them is irrelevant
-    pos = with_position(vals, ["_v"], None, "_p")
     picked = pos.where(F.col("_p").isin(idx)).select("_p", "_v")
     plan = spark.createDataFrame(need, "q double, lo long, hi long, frac double")
     lo = picked.select(F.col("_p").alias("lo"), F.col("_v").alias("v_lo"))

@@ -85,49 +85,59 @@ def _order_key_double(df: DataFrame, name: str) -> Column:
 
 
 def order_blocks(df: DataFrame, order_col: str, num_blocks: int, block_col: str = "_hg_blk",
-                 relative_error: float | None = None) -> DataFrame:
+                 relative_error: float | None = None, with_count: bool = False):
     """Assign every row a block of the global ``order_col`` range.
 
     Bounds are approximate quantiles fetched once to the driver (``num_blocks - 1``
-    numbers) and applied with ``Bucketizer`` (binary search, JVM side), so the
-    assignment is a pure function of the row: task retries and re-evaluation
-    always give the same block.  Equal keys always share a block.
+    numbers, with the row count in the same single aggregation) and applied
+    with ``Bucketizer`` (binary search, JVM side), so the assignment is a pure
+    function of the row: task retries and re-evaluation always give the same
+    block.  Equal keys always share a block.  Returns the frame, or
+    ``(frame, row_count)`` with ``with_count``.
     """
     d = df.withColumn("_hg_okey", F.coalesce(_order_key_double(df, order_col),
                                              F.lit(float("-inf"))))
     bounds: list[float] = []
-    if num_blocks > 1:
-        probs = [i / num_blocks for i in range(1, num_blocks)]
+    n_rows = None
+    if num_blocks > 1 or with_count:
+        probs = [i / num_blocks for i in range(1, num_blocks)] or [0.5]
         err = relative_error if relative_error is not None else 1.0 / (4 * num_blocks)
-        qs = d.approxQuantile("_hg_okey", probs, err)
+        acc = max(10000, int(1.0 / err))
+        row = d.agg(F.count(F.lit(1)).alias("n"),
+                    F.percentile_approx("_hg_okey", probs, acc).alias("q")).first()
+        n_rows = int(row["n"])
+        qs = (row["q"] or []) if num_blocks > 1 else []
         bounds = sorted({q for q in qs if q == q and q not in (float("inf"), float("-inf"))})
     if not bounds:
-        return d.withColumn(block_col, F.lit(0.0)).drop("_hg_okey")
-    from pyspark.ml.feature import Bucketizer
-    splits = [float("-inf")] + bounds + [float("inf")]
-    out = Bucketizer(splits=splits, inputCol="_hg_okey", outputCol=block_col,
-                     handleInvalid="keep").transform(d)
-    return out.drop("_hg_okey")
+        out = d.withColumn(block_col, F.lit(0.0)).drop("_hg_okey")
+    else:
+        from pyspark.ml.feature import Bucketizer
+        splits = [float("-inf")] + bounds + [float("inf")]
+        out = Bucketizer(splits=splits, inputCol="_hg_okey", outputCol=block_col,
+                         handleInvalid="keep").transform(d).drop("_hg_okey")
+    return (out, n_rows) if with_count else out
 
 
 def with_position(df: DataFrame, order_cols: Sequence[str] | str,
                   series_cols: Sequence[str] | str | None = None,
-                  pos_col: str = "pos", num_blocks: int | None = None) -> DataFrame:
+                  pos_col: str = "pos", num_blocks: int | None = None, with_count: bool = False):
     """Add a dense 0-based position per series in ``order_cols`` order.
 
     Rows are cut into blocks of the first order column's global range
     (:func:`order_blocks`), numbered inside ``(series, block)`` and shifted
     by the prefix-summed row counts of the series' earlier blocks.  A series
     holding a third of the table is spread over a third of the blocks, so no
-    task numbers more than about ``N / num_blocks`` rows.
+    task numbers more than about ``N / num_blocks`` rows.  The block count
+    scales with ``spark.sql.shuffle.partitions`` (sized for the cluster).
 
     ``order_cols`` must be a total order inside a series (add an id column
-    to break ties).
+    to break ties).  With ``with_count`` returns ``(frame, total_rows)``; the
+    count comes from the same pass that fetches the block bounds.
     """
     series = _cols(series_cols)
     order = _cols(order_cols)
     n = num_blocks or 4 * shuffle_partitions(df.sparkSession)
-    d = order_blocks(df, order[0], n, "_hg_blk")
+    d, n_rows = order_blocks(df, order[0], n, "_hg_blk", with_count=True)
     wloc = Window.partitionBy(*series, "_hg_blk").orderBy(*order)
     d = d.withColumn("_hg_loc", F.row_number().over(wloc) - 1)
     # counts come from the numbered frame itself, so both branches share one
@@ -140,8 +150,20 @@ def with_position(df: DataFrame, order_cols: Sequence[str] | str,
         # one row per block: bounded by num_blocks
         offsets = F.broadcast(offsets)
     out = _null_safe_join(d, offsets, series + ["_hg_blk"])
-    return (out.withColumn(pos_col, (F.col("_hg_off") + F.col("_hg_loc")).cast("long"))
-               .drop("_hg_blk", "_hg_loc", "_hg_off"))
+    out = (out.withColumn(pos_col, (F.col("_hg_off") + F.col("_hg_loc")).cast("long"))
+              .drop("_hg_blk", "_hg_loc", "_hg_off"))
+    return (out, n_rows) if with_count else out
+
+
+def positioned_for_reuse(df: DataFrame, order_cols, series_cols=None, pos_col: str = "pos",
+                         num_blocks: int | None = None):
+    """Position the rows and cut the lineage with a reliable checkpoint (in
+    the shared checkpoint folder) when several actions will read the result
+    (fold splits, repeated model fits); returns ``(frame, total_rows)``."""
+    from ..session import ensure_checkpoint_dir
+    out, n = with_position(df, order_cols, series_cols, pos_col, num_blocks, with_count=True)
+    ensure_checkpoint_dir(df.sparkSession)
+    return out.checkpoint(eager=True), n
 
 
 # ---------------------------------------------------------------------------

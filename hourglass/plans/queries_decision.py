@@ -394,8 +394,7 @@ GROUP BY best.s, best.t, best.sv""", _pairs_sql(),
 @q("calibrated_fold_backtest", _calibrated_sql())
 def calibrated_fold_backtest(spark, sf):
     iv = I.intervals(spark, sf).drop("pos")
-    g = S.with_position(iv, ["ts", "event_id"], None, "gpos")
-    n = iv.count()
+    g, n = S.positioned_for_reuse(iv, ["ts", "event_id"], None, "gpos")
     return B.calibrated_fold_backtest(g, "gpos", n, "pred_prc", "rt", "mining")
 
 
@@ -506,8 +505,7 @@ def f1_weighted(spark, sf):
 
 def _folded(spark, sf):
     iv = _iv(spark, sf).drop("pos")
-    n = iv.count()
-    g = S.with_position(iv, ["ts", "event_id"], None, "gpos")
+    g, n = S.positioned_for_reuse(iv, ["ts", "event_id"], None, "gpos")
     return g.withColumn("fold", FO.test_fold("gpos", n, 4)).where(F.col("fold").isNotNull())
 
 
@@ -612,8 +610,7 @@ SELECT fold, role, count(*) AS n_rows, min(gpos) AS min_pos, max(gpos) AS max_po
 WHERE role IS NOT NULL GROUP BY 1, 2""")
 def ts_folds(spark, sf):
     ev = I.events(spark, sf).select("ts", "event_id")
-    n = ev.count()
-    g = S.with_position(ev, ["ts", "event_id"], None, "gpos")
+    g, n = S.with_position(ev, ["ts", "event_id"], None, "gpos", with_count=True)
     f = FO.assign_folds(g, "gpos", n, 4)
     return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("n_rows"), F.min("gpos").alias("min_pos"),
                                          F.max("gpos").alias("max_pos"))

@@ -78,8 +78,7 @@ def _fold_ols_sql():
 @q("fold_ols", _fold_ols_sql())
 def fold_ols(spark, sf):
     iv = M.complete_rows(I.intervals(spark, sf).drop("pos"), ["prc", "pred_prc", "pred_price"])
-    n = iv.count()
-    g = S.with_position(iv, ["ts", "event_id"], None, "gpos")
+    g, n = S.positioned_for_reuse(iv, ["ts", "event_id"], None, "gpos")
     out = M.fold_ols(g, "gpos", n, 4, ["pred_prc", "pred_price"], "prc")
     return out.select("fold", "term", F.round("coef", 3).alias("coef"))
 
@@ -132,8 +131,7 @@ def spread_regressor(spark, sf):
 
 def _positioned_complete(spark, sf, feats):
     mt = M.complete_rows(model_table(spark, sf).drop("pos"), [*feats, "regime"])
-    n = mt.count()
-    return S.with_position(mt, ["ts", "event_id"], None, "gpos"), n
+    return S.positioned_for_reuse(mt, ["ts", "event_id"], None, "gpos")
 
 
 @q("regime_classifier")
