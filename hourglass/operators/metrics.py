@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import price_tier
-from ..session import materialize_small
 from .sweep import interval_index
 
 # --- fixed values that must equal the reference's --------------------------
@@ -78,38 +77,51 @@ def confusion_counts(df: DataFrame, actual: str, pred: str, by: Sequence[str] =
 def report_from_counts(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """E4 from a confusion table: per-class precision / recall / F1 / support
     over the classes present in actual or predicted, plus ``macro avg``,
-    ``weighted avg`` and ``accuracy`` rows."""
+    ``weighted avg`` and ``accuracy`` rows.
+
+    One aggregation (every confusion cell contributes its count to the
+    actual label's support and the predicted label's prediction count) and
+    one window over ``by``; the summary rows are emitted by the first label
+    of each group, so no joins or unions are planned.
+    """
     by = list(by)
-    cm = materialize_small(cm)   # classes^2 rows, read by several branches below
-    sup = cm.groupBy(*by, F.col("actual").alias("label")).agg(F.sum("n").alias("support"))
-    prd = cm.groupBy(*by, F.col("pred").alias("label")).agg(F.sum("n").alias("n_pred"))
-    tp = cm.where(F.col("actual") == F.col("pred")).groupBy(*by, F.col("actual").alias("label")) \
-           .agg(F.sum("n").alias("tp"))
-    per = (sup.join(prd, by + ["label"], "full").join(tp, by + ["label"], "left")
-              .na.fill(0, ["support", "n_pred", "tp"]))
-    per = per.select(*by, "label", _div0(F.col("tp"), F.col("n_pred")).alias("precision"),
-                     _div0(F.col("tp"), F.col("support")).alias("recall"),
-                     F.col("support").cast("long").alias("support"), F.col("tp"))
+    hit = F.when(F.col("actual") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
+    contrib = cm.select(*by, F.explode(F.array(
+        F.struct(F.col("actual").alias("label"), F.col("n").alias("s"), F.lit(0).cast("long").alias("p"),
+                 hit.cast("long").alias("t")),
+        F.struct(F.col("pred").alias("label"), F.lit(0).cast("long").alias("s"), F.col("n").alias("p"),
+                 F.lit(0).cast("long").alias("t")))).alias("c")).select(*by, "c.*")
+    per = contrib.groupBy(*by, "label").agg(F.sum("s").alias("support"), F.sum("p").alias("n_pred"),
+                                            F.sum("t").alias("tp"))
+    prec = _div0(F.col("tp"), F.col("n_pred"))
+    rec = _div0(F.col("tp"), F.col("support"))
+    per = per.select(*by, "label", prec.alias("precision"), rec.alias("recall"), "support", "tp")
     per = per.withColumn("f1", _div0(2 * F.col("precision") * F.col("recall"),
                                      F.col("precision") + F.col("recall")))
-    g = per.groupBy(*by) if by else per.groupBy()
-    tot = g.agg(F.sum("support").alias("_tot"), F.sum("tp").alias("_tp"),
-                F.avg("precision").alias("_mp"), F.avg("recall").alias("_mr"), F.avg("f1").alias("_mf"),
-                F.sum(F.col("precision") * F.col("support")).alias("_wp"),
-                F.sum(F.col("recall") * F.col("support")).alias("_wr"),
-                F.sum(F.col("f1") * F.col("support")).alias("_wf"))
-    macro = tot.select(*by, F.lit("macro avg").alias("label"), F.col("_mp").alias("precision"),
-                       F.col("_mr").alias("recall"), F.col("_mf").alias("f1"), F.col("_tot").alias("support"))
-    weighted = tot.select(*by, F.lit("weighted avg").alias("label"),
-                          _div0(F.col("_wp"), F.col("_tot")).alias("precision"),
-                          _div0(F.col("_wr"), F.col("_tot")).alias("recall"),
-                          _div0(F.col("_wf"), F.col("_tot")).alias("f1"), F.col("_tot").alias("support"))
-    acc = _div0(F.col("_tp"), F.col("_tot"))
-    accuracy = tot.select(*by, F.lit("accuracy").alias("label"), acc.alias("precision"),
-                          acc.alias("recall"), acc.alias("f1"), F.col("_tot").alias("support"))
-    cols = [*by, "label", "precision", "recall", "f1", "support"]
-    return (per.select(*cols).unionByName(macro.select(*cols)).unionByName(weighted.select(*cols))
-               .unionByName(accuracy.select(*cols)))
+    w = Window.partitionBy(*by) if by else Window.partitionBy()
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per = per.select("*", F.sum("support").over(wall).alias("_tot"), F.sum("tp").over(wall).alias("_ttp"),
+                     F.avg("precision").over(wall).alias("_mp"), F.avg("recall").over(wall).alias("_mr"),
+                     F.avg("f1").over(wall).alias("_mf"),
+                     F.sum(F.col("precision") * F.col("support")).over(wall).alias("_wp"),
+                     F.sum(F.col("recall") * F.col("support")).over(wall).alias("_wr"),
+                     F.sum(F.col("f1") * F.col("support")).over(wall).alias("_wf"),
+                     (F.row_number().over(w.orderBy("label")) == 1).alias("_first"))
+    tot = F.col("_tot")
+
+    def row(label, p, r, f, sup):
+        return F.struct((F.lit(label) if isinstance(label, str) else label).alias("label"),
+                        p.alias("precision"), r.alias("recall"), f.alias("f1"),
+                        sup.cast("long").alias("support"))
+
+    own = row(F.col("label"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"))
+    macro = row("macro avg", F.col("_mp"), F.col("_mr"), F.col("_mf"), tot)
+    weighted = row("weighted avg", _div0(F.col("_wp"), tot), _div0(F.col("_wr"), tot),
+                   _div0(F.col("_wf"), tot), tot)
+    acc = _div0(F.col("_ttp"), tot)
+    accuracy = row("accuracy", acc, acc, acc, tot)
+    rows = F.when(F.col("_first"), F.array(own, macro, weighted, accuracy)).otherwise(F.array(own))
+    return per.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
 
 
 def classification_report(df: DataFrame, actual: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
@@ -167,9 +179,8 @@ def threshold_for_recall(df: DataFrame, actual: str, base_pred: str, p_target: s
     d = df.where(F.col(actual).isNotNull() & F.col(base_pred).isNotNull())
     s = F.col(p_target)
     j = F.when(s.isNull(), F.lit(0)).otherwise(interval_index(s, ts, "ge"))
-    hist = materialize_small(
-        d.groupBy(j.alias("_j"), F.col(actual).alias("actual"), F.col(base_pred).alias("base"))
-         .agg(F.count(F.lit(1)).alias("n")))
+    hist = d.groupBy(j.alias("_j"), F.col(actual).alias("actual"), F.col(base_pred).alias("base")) \
+            .agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     grid = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "_i int, threshold double")
     # a row overrides at threshold i iff i < j: every histogram row (at most
@@ -180,11 +191,12 @@ def threshold_for_recall(df: DataFrame, actual: str, base_pred: str, p_target: s
     cm = (spread.groupBy("_i", "actual", pred.alias("pred")).agg(F.sum("n").alias("n"))
                 .join(grid, "_i").drop("_i"))
     rep = report_from_counts(cm, ["threshold"])
-    sc = rep.where(F.col("label") == target).select(
-        "threshold", F.round("recall", 3).alias("recall"), F.round("precision", 3).alias("precision"))
-    mac = rep.where(F.col("label") == "macro avg").select("threshold",
-                                                          F.round("recall", 3).alias("macro_recall"))
-    out = (grid.select("threshold").join(sc, "threshold", "left").join(mac, "threshold", "left")
+    is_t, is_m = F.col("label") == target, F.col("label") == "macro avg"
+    per_t = rep.groupBy("threshold").agg(
+        F.round(F.max(F.when(is_t, F.col("recall"))), 3).alias("recall"),
+        F.round(F.max(F.when(is_t, F.col("precision"))), 3).alias("precision"),
+        F.round(F.max(F.when(is_m, F.col("recall"))), 3).alias("macro_recall"))
+    out = (grid.select("threshold").join(per_t, "threshold", "left")
                .na.fill(0.0, ["recall", "precision", "macro_recall"]))
     viable = F.col("recall") >= target_recall
     w_v = Window.orderBy(F.col("_v").desc(), F.col("threshold").desc())

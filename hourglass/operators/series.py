@@ -102,7 +102,7 @@ def order_blocks(df: DataFrame, order_col: str, num_blocks: int, block_col: str
     if num_blocks > 1 or with_count:
         probs = [i / num_blocks for i in range(1, num_blocks)] or [0.5]
         err = relative_error if relative_error is not None else 1.0 / (4 * num_blocks)
-        acc = max(10000, int(1.0 / err))
+        acc = max(100, int(1.0 / err))
         row = d.agg(F.count(F.lit(1)).alias("n"),
                     F.percentile_approx("_hg_okey", probs, acc).alias("q")).first()
         n_rows = int(row["n"])
@@ -160,10 +160,9 @@ def positioned_for_reuse(df: DataFrame, order_cols, series_cols=None, pos_col: s
     """Position the rows and cut the lineage with a reliable checkpoint (in
     the shared checkpoint folder) when several actions will read the result
     (fold splits, repeated model fits); returns ``(frame, total_rows)``."""
-    from ..session import ensure_checkpoint_dir
+    from ..session import checkpoint_once
     out, n = with_position(df, order_cols, series_cols, pos_col, num_blocks, with_count=True)
-    ensure_checkpoint_dir(df.sparkSession)
-    return out.checkpoint(eager=True), n
+    return checkpoint_once(out), n
 
 
 # ---------------------------------------------------------------------------

@@ -58,13 +58,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def checkpoint_once(df):
+    """Reliable checkpoint that evaluates the plan once.
+
+    An eager ``checkpoint()`` counts the rows and then writes the files in a
+    second job that would recompute the whole upstream plan; persisting
+    first lets the write read the cached blocks.  The cache is released as
+    soon as the checkpoint files exist (they live in the shared folder named
+    by ``spark.checkpoint.dir`` and survive executor loss).
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def materialize_small(df):
     """Compute a small intermediate result once and cut its lineage.
 
     Used for tables bounded by classes, thresholds or strategies that several
     branches of a plan read (otherwise each branch would re-run the whole
-    upstream pipeline).  A reliable checkpoint in the shared checkpoint
-    folder survives executor loss; ``localCheckpoint`` is never used.
+    upstream pipeline).  ``localCheckpoint`` is never used.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpoint_once(df)
