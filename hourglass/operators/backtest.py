@@ -132,7 +132,7 @@ def optimize_prc_thresholds(df: DataFrame, pred_prc: str, rt: str, use_case: str
         full = always - (r * F.lit(l_full) + F.lit(penalty) * F.lit(capacity_mw - l_full))
         half = always - (r * F.lit(l_half) + F.lit(penalty) * F.lit(capacity_mw - l_half))
     grid = sorted({float(x) for x in (*scarcity_grid, *tight_grid)})
-    sums = threshold_sums(df, pred_prc, grid, "lt", {"F": full, "G": half}, "x")
+    sums = materialize_small(threshold_sums(df, pred_prc, grid, "lt", {"F": full, "G": half}, "x"))
     spark = df.sparkSession
     pairs = spark.createDataFrame(
         [(int(s), int(t)) for s in scarcity_grid for t in tight_grid if t > s],

@@ -10,9 +10,10 @@ Three building blocks carry the scale:
   per-series window.  Rows are cut into blocks of the global order range
   (quantile bounds fetched once, applied by binary search), numbered inside
   ``(series, block)``, and a small table of ``(series, block) -> row count``
-  is prefix-summed to give every block its starting offset.  Block
-  assignment is a pure function of the row, so retries are deterministic
-  (physical partition ids are never used).
+  is prefix-summed to give every block its starting offset (the counts are
+  a map-side partial aggregation).  Block assignment is a pure function of
+  the row, so retries are deterministic (physical partition ids are never
+  used).
 * :func:`halo_windows` - ``bucket = pos div B``; the last ``H`` rows of a
   bucket are copied into the next bucket, windows run per
   ``(series, bucket)`` and the copies are dropped.  Each task sees at most
@@ -137,12 +138,12 @@ def with_position(df: DataFrame, order_cols: Sequence[str] | str,
     series = _cols(series_cols)
     order = _cols(order_cols)
     n = num_blocks or 4 * shuffle_partitions(df.sparkSession)
-    d, n_rows = order_blocks(df, order[0], n, "_hg_blk", with_count=True)
+    blocked, n_rows = order_blocks(df, order[0], n, "_hg_blk", with_count=True)
     wloc = Window.partitionBy(*series, "_hg_blk").orderBy(*order)
-    d = d.withColumn("_hg_loc", F.row_number().over(wloc) - 1)
-    # counts come from the numbered frame itself, so both branches share one
-    # exchange (the source is scanned and shuffled once)
-    counts = d.groupBy(*series, "_hg_blk").agg((F.max("_hg_loc") + 1).alias("_hg_n"))
+    d = blocked.withColumn("_hg_loc", F.row_number().over(wloc) - 1)
+    # block sizes by map-side partial aggregation: the shuffle carries one
+    # row per (series, block) per mapper, and column pruning reads only keys
+    counts = blocked.groupBy(*series, "_hg_blk").agg(F.count(F.lit(1)).alias("_hg_n"))
     w = _series_window(series).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
     offsets = counts.select(*series, "_hg_blk",
                             F.coalesce(F.sum("_hg_n").over(w), F.lit(0)).alias("_hg_off"))

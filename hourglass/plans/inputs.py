@@ -19,6 +19,7 @@ from ..functions import time as T
 from ..functions.numeric import regime
 from ..operators import series as S
 from ..operators.joins import spine_left_join, time_spine
+from ..session import materialize_small
 from ..sources.tables import table
 
 # --- fixed definitions of the proxy columns (shared with the SQL oracle) ---
@@ -51,8 +52,13 @@ def hourly_feeds(ev: DataFrame) -> DataFrame:
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly table on the spine: missing hours are rows of NULLs."""
-    feeds = hourly_feeds(events(spark, sf_dir))
+    """Hourly table on the spine: missing hours are rows of NULLs.
+
+    The hourly aggregate is bounded by the time range (hours x series), not by
+    the event volume, and several branches read it (spine bounds, joins,
+    position, fills), so it is computed once and checkpointed instead of
+    re-scanning the raw events per branch."""
+    feeds = materialize_small(hourly_feeds(events(spark, sf_dir)))
     spine = time_spine(feeds, "ts")
     return spine_left_join(spine, [feeds], ["ts"])
 
@@ -79,10 +85,11 @@ def intervals(spark: SparkSession, sf_dir: str, bucket_size: int | None = None)
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily load series from orders (one aggregation)."""
     o = table(spark, sf_dir, "orders")
-    d = (o.groupBy(F.col("o_orderdate").cast("timestamp_ntz").alias("ts"))
-          .agg(F.sum("o_totalprice").alias("load_total"),
-               F.count(F.lit(1)).alias("n_orders"),
-               F.avg("o_totalprice").alias("avg_price")))
+    d = materialize_small(   # bounded by calendar days, read by several branches
+        o.groupBy(F.col("o_orderdate").cast("timestamp_ntz").alias("ts"))
+         .agg(F.sum("o_totalprice").alias("load_total"),
+              F.count(F.lit(1)).alias("n_orders"),
+              F.avg("o_totalprice").alias("avg_price")))
     cal = T.calendar_columns("ts")
     return d.select("*", cal["month"].alias("month"), cal["year"].alias("year"),
                     cal["day_of_week"].alias("day_of_week"))
