@@ -683,3 +683,43 @@ def flagship_dispatch_summary(spark, sf):
 from .queries import QUERIES as _Q  # noqa: E402
 
 _Q["incremental_value"] = (incremental_value, _incremental_sql())
+
+
+# ===========================================================================
+# J6: "every row x every candidate threshold" - computed by the histogram
+# sweep (no cross join); the SQL oracle is the literal cross join
+# ===========================================================================
+
+def _j6_sql():
+    return IV("""
+SELECT threshold, count(*) FILTER (WHERE pred_price > threshold) AS n_pred_above,
+       count(*) FILTER (WHERE rt > threshold) AS n_actual_above,
+       round(coalesce(sum(rt) FILTER (WHERE pred_price > threshold), 0), 6) AS sum_rt_pred_above
+FROM grid CROSS JOIN iv GROUP BY threshold""", _PRICE_GRID_SQL)
+
+
+def threshold_cross_join(spark, sf):
+    """One pass over the rows: a 2-D histogram of (predicted-price interval,
+    actual-price interval), at most (K+2)^2 rows, from which every threshold's
+    counts are suffix sums."""
+    from ..operators.sweep import interval_index
+    iv = I.intervals(spark, sf)
+    ts = sorted(B.PRICE_GRID)
+    k = len(ts)
+    jp = F.when(F.col("pred_price").isNull(), F.lit(0)).otherwise(interval_index(F.col("pred_price"), ts, "gt"))
+    ja = F.when(F.col("rt").isNull(), F.lit(0)).otherwise(interval_index(F.col("rt"), ts, "gt"))
+    hist = iv.groupBy(jp.alias("jp"), ja.alias("ja")).agg(F.count(F.lit(1)).alias("n"),
+                                                          F.sum("rt").alias("s"))
+    spread = hist.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"), "jp", "ja", "n", "s")
+    per = spread.groupBy("_i").agg(
+        F.sum(F.when(F.col("_i") < F.col("jp"), F.col("n")).otherwise(0)).alias("n_pred_above"),
+        F.sum(F.when(F.col("_i") < F.col("ja"), F.col("n")).otherwise(0)).alias("n_actual_above"),
+        F.sum(F.when(F.col("_i") < F.col("jp"), F.col("s")).otherwise(0.0)).alias("sum_rt_pred_above"))
+    grid = spark.createDataFrame([(i, float(t)) for i, t in enumerate(ts)], "_i int, threshold double")
+    return grid.join(per, "_i", "left").select(
+        "threshold", F.coalesce("n_pred_above", F.lit(0)).cast("long").alias("n_pred_above"),
+        F.coalesce("n_actual_above", F.lit(0)).cast("long").alias("n_actual_above"),
+        F.round(F.coalesce("sum_rt_pred_above", F.lit(0.0)), 6).alias("sum_rt_pred_above"))
+
+
+_Q["threshold_cross_join"] = (threshold_cross_join, _j6_sql())

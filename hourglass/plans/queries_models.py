@@ -252,3 +252,37 @@ def model_persistence(spark, sf):
     return a.join(b, "event_id").agg(F.count(F.lit(1)).alias("n"),
                                      F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"),
                                      F.lit(len(meta2["features"])).alias("n_features"))
+
+
+@q("sink_model_metadata")
+def sink_model_metadata(spark, sf):
+    """Fit, save the model with its JSON sidecar, and read the sidecar
+    back as rows (term, coefficient) from the shared folder."""
+    import json as _json
+    mt = model_table(spark, sf)
+    feats = M.feature_set("prc_1h")
+    model = M.fit_linear(mt.where(_before("ts", TRAIN_END)), feats, "prc")
+    meta = {"features": feats, "target": "prc", "train_end": TRAIN_END,
+            "coefficients": dict(M.linear_coefficients(model, feats))}
+    path = scratch_dir(spark, "model-meta")
+    sinks.save_model_with_metadata(spark, model, path, meta)
+    side = spark.read.text(f"{path}/metadata")
+    parsed = F.from_json("value", "struct<features: array<string>, coefficients: map<string, double>>")
+    return side.select(parsed.alias("m")).select(F.explode("m.coefficients").alias("term", "coef"))
+
+
+@q("load_model_metadata")
+def load_model_metadata(spark, sf):
+    """Load a saved model and its frozen feature list, project exactly
+    those columns and score; NULL predictions where a feature is missing."""
+    from pyspark.ml import PipelineModel
+    mt = model_table(spark, sf)
+    feats = M.feature_set("prc_1h")
+    path = scratch_dir(spark, "model-load")
+    sinks.save_model_with_metadata(spark, M.fit_linear(mt.where(_before("ts", TRAIN_END)), feats, "prc"),
+                                   path, {"features": feats})
+    model, meta = sinks.load_model_metadata(spark, path, PipelineModel)
+    scored = M.score_complete(model, sinks.project_features(mt, ["event_id", *meta["features"]]),
+                              meta["features"], ["event_id"], "predicted_prc")
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count("predicted_prc").alias("n_scored"),
+                      F.avg("predicted_prc").alias("mean_prediction"))
