@@ -45,8 +45,21 @@ def strip_tz_keep_wall(s) -> Column:
     return F.to_timestamp_ntz(F.substring(_c(s), 1, 19))
 
 
+def trunc_ntz(ts, unit: str) -> Column:
+    """Truncate a wall-clock timestamp to ``minute`` / ``hour`` / ``day`` /
+    ``week`` (Monday) without passing through the session time zone
+    (``date_trunc`` on timestamp_ntz round-trips through it)."""
+    c = _c(ts)
+    if unit == "week":
+        return F.to_timestamp_ntz(F.date_sub(F.to_date(c), F.weekday(c)))
+    if unit == "day":
+        return F.to_timestamp_ntz(F.to_date(c))
+    parts = {"hour": (F.hour(c), F.lit(0)), "minute": (F.hour(c), F.minute(c))}[unit]
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), parts[0], parts[1], F.lit(0))
+
+
 def floor_hour(ts) -> Column:
-    return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
+    return trunc_ntz(ts, "hour")
 
 
 def calendar_columns(ts) -> dict[str, Column]:

@@ -22,7 +22,7 @@ def resample(df: DataFrame, ts_col: str, value_cols: Sequence[str], how: str = "
     """A1 / A2: sub-hourly -> hourly (``mean`` or ``min``); partial
     aggregation also fixes files that split an hour."""
     fn = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}[how]
-    g = F.date_trunc(unit, F.col(ts_col)).cast("timestamp_ntz").alias(out_ts)
+    g = T.trunc_ntz(ts_col, unit).alias(out_ts)
     return df.groupBy(*_cols(series_cols), g).agg(*[fn(c).alias(c) for c in value_cols])
 
 

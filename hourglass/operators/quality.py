@@ -35,7 +35,8 @@ def drift_check(df: DataFrame, ts_col: str, actual: str, pred: str, spike: float
     a, p = F.col(actual), F.col(pred)
     n_act = F.count_if(a > spike)
     tp = F.count_if((a > spike) & (p > spike))
-    return d.groupBy(F.date_trunc(unit, ts_col).cast("timestamp_ntz").alias("period")).agg(
+    from ..functions.time import trunc_ntz
+    return d.groupBy(trunc_ntz(ts_col, unit).alias("period")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs(a - p)), 6).alias("mae"),
         n_act.alias("n_actual"), tp.alias("tp"),
         F.round(F.when(n_act > 0, tp / n_act).otherwise(F.lit(0.0)), 6).alias("recall_100"))

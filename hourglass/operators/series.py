@@ -75,7 +75,10 @@ def _order_key_double(df: DataFrame, name: str) -> Column:
     dt = df.schema[name].dataType.typeName()
     c = F.col(name)
     if dt == "timestamp_ntz":
-        c = F.unix_micros(c.cast("timestamp"))
+        # wall-clock seconds from the parts: independent of the session time
+        # zone (a cast to timestamp is not monotonic across a DST gap)
+        return (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600.0
+                + F.minute(c) * 60.0 + F.date_part(F.lit("SECOND"), c).cast("double"))
     elif dt == "timestamp":
         c = F.unix_micros(c)
     elif dt == "date":

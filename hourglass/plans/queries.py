@@ -386,7 +386,7 @@ FROM hourly h LEFT JOIN lab ON h.ts = lab.ts""", """lab AS (SELECT ts FROM (SELE
 def semi_join_labels(spark, sf):
     h = I.hourly(spark, sf)
     labels = (h.where(F.col("load_total").isNotNull())
-               .groupBy(F.date_trunc("week", "ts").alias("wk"))
+               .groupBy(T.trunc_ntz("ts", "week").alias("wk"))
                .agg(F.min_by("ts", F.struct(-F.col("load_total"), F.col("ts"))).alias("ts")))
     return J.flag_membership(h.select("ts", "load_total"), labels, ["ts"], "is_peak")
 

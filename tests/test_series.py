@@ -128,3 +128,19 @@ def test_row_order_and_partitioning_invariance(spark):
     shuffled = df.orderBy(F.rand(3)).repartition(13)
     b = S.add_series_features(shuffled, specs, ["t"], ["s"], bucket_size=29).toPandas().sort_values(["s", "t"])
     pd.testing.assert_frame_equal(a.reset_index(drop=True), b.reset_index(drop=True))
+
+
+def test_positions_and_truncation_ignore_session_time_zone(spark):
+    import datetime as dt
+    from hourglass.functions.time import floor_hour
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = [(dt.datetime(2024, 3, 10, 0, 0) + dt.timedelta(minutes=10 * i),) for i in range(60)]
+        df = spark.createDataFrame(rows, "ts timestamp_ntz")
+        out = S.with_position(df, ["ts"], None, num_blocks=16).orderBy("ts").toPandas()
+        assert list(out.pos) == list(range(60))       # across the 02:00-03:00 spring-forward gap
+        hrs = [r[0] for r in df.select(floor_hour("ts")).orderBy("ts").collect()]
+        assert hrs[15] == dt.datetime(2024, 3, 10, 2, 0)   # 02:30 wall clock stays in hour 02
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
