@@ -12,15 +12,11 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import decision as D
 from ..functions import numeric as N
 from ..functions import time as T
 from ..operators import aggregate as A
-from ..operators import backtest as B
 from ..operators import dedup as DD
-from ..operators import folds as FO
 from ..operators import joins as J
-from ..operators import metrics as E
 from ..operators import series as S
 from ..sources import tables as SRC
 from . import inputs as I

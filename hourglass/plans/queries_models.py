@@ -258,7 +258,6 @@ def model_persistence(spark, sf):
 def sink_model_metadata(spark, sf):
     """Fit, save the model with its JSON sidecar, and read the sidecar
     back as rows (term, coefficient) from the shared folder."""
-    import json as _json
     mt = model_table(spark, sf)
     feats = M.feature_set("prc_1h")
     model = M.fit_linear(mt.where(_before("ts", TRAIN_END)), feats, "prc")

@@ -10,7 +10,6 @@ read it back through the operator - so the work grows with the table.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions import time as T
 from ..operators import aggregate as A

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
 from ..streaming import streams as K
 from .queries import _LI_ORDER, _li_sql, _r, q
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from hourglass.operators import folds as FO
 from hourglass.operators import metrics as E
-from hourglass.operators import series as S
 
 
 def test_fold_bounds_n11_k4():

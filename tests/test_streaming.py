@@ -1,10 +1,7 @@
 """Stream results equal the batch results (K1-K4)."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
-from hourglass.operators.dedup import keep_latest
 from hourglass.streaming import streams as K
 
 
