@@ -279,10 +279,12 @@ def compare_datacenter(df: DataFrame, rt: str = "rt", dam: str = "dam", lag_rt:
                        pred_price: str = "pred_price", pred_prc: str = "pred_prc",
                        price_threshold: int = 60, prc_tight: float = PRC_TIGHT,
                        capacity_mw: float = CAPACITY_MW, critical_pct: float = CRITICAL_PCT,
-                       penalty: float = CURTAIL_PENALTY) -> DataFrame:
+                       penalty: float = CURTAIL_PENALTY, include_true_oracle: bool = False) -> DataFrame:
     """The same strategies for a data centre that sheds half its flexible
     load; the 'oracle' sheds all flexible load above penalty / (1 - critical),
-    which is not a true upper bound (pct may exceed 100)."""
+    which is not a true upper bound (pct may exceed 100).  With
+    ``include_true_oracle`` a last row sheds all flexible load whenever
+    RT > penalty, the real break-even."""
     r = _c(rt)
     flex = capacity_mw * (1.0 - critical_pct)
     load_half = capacity_mw - flex * 0.5
@@ -315,6 +317,16 @@ def compare_datacenter(df: DataFrame, rt: str = "rt", dam: str = "dam", lag_rt:
         "ord", "strategy", F.col("_oracle").alias("savings"),
         F.col("_oracle_hours").alias("hours_curtailed"), F.lit(100.0).alias("pct_oracle"))
     out = always.unionByName(body).unionByName(oracle)
+    if include_true_oracle:
+        tm = _true(r > F.lit(penalty))
+        true = df.agg(F.coalesce(F.sum(F.when(tm, (r - F.lit(penalty)) * F.lit(flex))), F.lit(0.0)).alias("sv"),
+                      F.count_if(tm).alias("h"))
+        true = _with_scalar(true, wide, ["_oracle"]).select(
+            F.lit(len(names) + 2).alias("ord"), F.lit(f"True oracle @>${penalty:.0f}").alias("strategy"),
+            F.col("sv").alias("savings"), F.col("h").alias("hours_curtailed"),
+            F.when(F.col("_oracle") > 0, F.col("sv") / F.col("_oracle") * 100).otherwise(F.lit(0.0))
+            .alias("pct_oracle"))
+        out = out.unionByName(true)
     return out.select("ord", "strategy", F.round("savings", 2).alias("savings"),
                       F.col("hours_curtailed").cast("long").alias("hours_curtailed"),
                       F.round("pct_oracle", 4).alias("pct_oracle"))

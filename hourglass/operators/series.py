@@ -380,3 +380,24 @@ def position_filter(df: DataFrame, min_pos: int, pos_col: str = "pos") -> DataFr
     return df.where(F.col(pos_col) >= min_pos)
 
 
+
+
+def time_lags(df: DataFrame, ts_col: str, cols_hours: Sequence[tuple[str, int]], series_cols=None,
+              suffix: str = "h_ago") -> DataFrame:
+    """Temporal lags (``mode='time'``): the value at exactly ``ts - k hours``
+    of the same series, NULL when that hour is absent - as opposed to the
+    positional default, which counts surviving rows.
+
+    One equi-join per distinct offset on ``(series, ts)``; the hash exchange
+    on both keys spreads a hot series over many tasks.
+    """
+    series = _cols(series_cols)
+    out = df
+    by_k: dict[int, list[str]] = {}
+    for c, k in cols_hours:
+        by_k.setdefault(k, []).append(c)
+    for k, cols in sorted(by_k.items()):
+        shifted = df.select(*series, (F.col(ts_col) + F.make_dt_interval(hours=F.lit(k))).alias(ts_col),
+                            *[F.col(c).alias(f"{c}_{k}{suffix}") for c in cols])
+        out = out.join(shifted, [*series, ts_col], "left")
+    return out

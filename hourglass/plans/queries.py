@@ -721,3 +721,14 @@ def union_all(spark, sf):
                                                  F.col("l_shipdate").alias("ts"),
                                                  F.col("l_extendedprice").alias("value"))
     return o.unionByName(li)
+
+
+@q("time_lag_features", H("""
+SELECT h.ts, a.rt AS rt_1h_ago, b.rt AS rt_24h_ago, b.prc AS prc_24h_ago
+FROM hourly h LEFT JOIN hourly a ON a.ts = h.ts - INTERVAL 1 HOUR
+              LEFT JOIN hourly b ON b.ts = h.ts - INTERVAL 24 HOUR"""))
+def time_lag_features(spark, sf):
+    """W1 with ``mode='time'``: lags by clock offset instead of row count."""
+    h = I.hourly(spark, sf).select("ts", "rt", "prc")
+    out = S.time_lags(h, "ts", [("rt", 1), ("rt", 24), ("prc", 24)])
+    return out.select("ts", "rt_1h_ago", "rt_24h_ago", "prc_24h_ago")

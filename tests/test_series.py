@@ -144,3 +144,13 @@ def test_positions_and_truncation_ignore_session_time_zone(spark):
         assert hrs[15] == dt.datetime(2024, 3, 10, 2, 0)   # 02:30 wall clock stays in hour 02
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_time_lags_follow_the_clock_not_rows(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", t0, 1.0), ("a", t0 + dt.timedelta(hours=1), 2.0), ("a", t0 + dt.timedelta(hours=3), 4.0),
+            ("b", t0 + dt.timedelta(hours=2), 9.0)]
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, v double")
+    got = {(r.s, r.ts.hour): r.v_1h_ago for r in S.time_lags(df, "ts", [("v", 1)], ["s"]).collect()}
+    assert got == {("a", 0): None, ("a", 1): 1.0, ("a", 3): None, ("b", 2): None}

@@ -94,3 +94,12 @@ def test_datacenter_oracle_can_exceed_upper_bound(spark):
     # shedding is worth it above $50 but the "oracle" only sheds above $143
     prc = out[out.strategy == "PRC model"].iloc[0]
     assert prc.savings > 0 and prc.pct_oracle == 0.0
+
+
+def test_true_oracle_row_is_an_upper_bound(spark):
+    df = spark.createDataFrame([(100.0, 0.0, None, 9000.0, None), (60.0, 0.0, None, 9000.0, None)],
+                               "rt double, dam double, lag_rt double, pred_prc double, pred_price double")
+    out = B.compare_datacenter(df, include_true_oracle=True).toPandas()
+    true = out[out.strategy.str.startswith("True oracle")].iloc[0]
+    assert true.savings == pytest.approx((100 - 50) * 70 + (60 - 50) * 70)
+    assert true.savings >= out.savings.max() - 1e-9
