@@ -8,12 +8,39 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def sized_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a given input volume.
+
+    * scan splits of ``target_partition_bytes`` (256 MiB by default), so
+      each scan task holds a bounded slice;
+    * initial shuffle partitions ~ input / target (at least 3 waves of the
+      cores) - AQE coalesces them down at run time when stages are small
+      and splits skewed ones;
+    * advisory post-shuffle size equal to the target.
+
+    100 TB on 1,000 executors x 8 cores gives ~400k shuffle partitions,
+    which also sizes ``with_position``'s blocks (4 x partitions, ~60 MB
+    each) and keeps every window task bounded.
+    """
+    parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, app: str = "hourglass",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, input_bytes: int | None = None,
+                  total_cores: int | None = None) -> SparkSession:
     """Session with AQE on, UTC clock, no UI.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; locally
-    ``local[N]`` with shuffle partitions sized to the cores.
+    On a cluster pass ``master=None`` and let spark-submit decide; give
+    ``input_bytes`` / ``total_cores`` to size partitions with
+    :func:`sized_conf`.  Locally ``local[N]`` with shuffle partitions sized to
+    the cores.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -30,6 +57,8 @@ def build_session(master: str | None = None, app: str = "hourglass",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.driver.memory": "16g",
     }
+    if input_bytes:
+        conf.update(sized_conf(input_bytes, total_cores or cores))
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
