@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import UNB_PREC, _cols, _null_safe_join, _series_window, order_blocks
+from .series import MAX_BLOCKS, UNB_PREC, _cols, _null_safe_join, _series_window, order_blocks
 from ..session import shuffle_partitions
 
 BROADCAST_MAX_ROWS = 2_000_000
@@ -65,7 +65,7 @@ def asof_backward(left: DataFrame, right: DataFrame, ts_col: str, by_cols: Seque
     lands in one task and no nested-loop join is planned.
     """
     by = list(by_cols)
-    n = num_blocks or 4 * shuffle_partitions(left.sparkSession)
+    n = min(num_blocks or 4 * shuffle_partitions(left.sparkSession), MAX_BLOCKS)
     match_fields = [F.col(c).alias(c) for c in right_cols]
     if matched_ts_col:
         match_fields.append(F.col(ts_col).alias(matched_ts_col))

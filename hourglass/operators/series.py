@@ -35,6 +35,10 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 
 DEFAULT_BUCKET = 100_000
+# cap on position blocks: the bounds sketch and the Bucketizer splits stay
+# small (<= 64k doubles); at 10^12 rows a (series, block) group is <= ~15M
+# rows, a bounded, spillable sort
+MAX_BLOCKS = 65_536
 UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
@@ -140,7 +144,7 @@ def with_position(df: DataFrame, order_cols: Sequence[str] | str,
     """
     series = _cols(series_cols)
     order = _cols(order_cols)
-    n = num_blocks or 4 * shuffle_partitions(df.sparkSession)
+    n = min(num_blocks or 4 * shuffle_partitions(df.sparkSession), MAX_BLOCKS)
     blocked, n_rows = order_blocks(df, order[0], n, "_hg_blk", with_count=True)
     wloc = Window.partitionBy(*series, "_hg_blk").orderBy(*order)
     d = blocked.withColumn("_hg_loc", F.row_number().over(wloc) - 1)
