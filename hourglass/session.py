@@ -18,9 +18,9 @@ def sized_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
       and splits skewed ones;
     * advisory post-shuffle size equal to the target.
 
-    100 TB on 1,000 executors x 8 cores gives ~400k shuffle partitions,
-    which also sizes ``with_position``'s blocks (4 x partitions, ~60 MB
-    each) and keeps every window task bounded.
+    100 TB on 1,000 executors x 8 cores gives ~370k initial shuffle
+    partitions (AQE coalesces them); ``with_position`` uses 4 x partitions
+    blocks, capped at 65,536, which keeps every window task bounded.
     """
     parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
     return {
