@@ -63,12 +63,14 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine_left_join(spine, [feeds], ["ts"])
 
 
-def intervals(spark: SparkSession, sf_dir: str, bucket_size: int | None = None) -> DataFrame:
+def intervals(spark: SparkSession, sf_dir: str, bucket_size: int | None = None,
+              extra_specs=()) -> DataFrame:
     """One row per event, series ``user_id``, positional order ``(ts, event_id)``.
 
     rt = value; dam = mean of the previous 3 events; prc = 120 * props.k;
     pred_prc / pred_price = previous event's prc / rt (deterministic stand-ins
-    for model scores).
+    for model scores).  ``extra_specs`` are evaluated in the same halo stage
+    (one exchange and sort for all window features).
     """
     ev = events(spark, sf_dir)
     base = ev.select(
@@ -78,7 +80,7 @@ def intervals(spark: SparkSession, sf_dir: str, bucket_size: int | None = None)
     pos = S.with_position(base, ["ts", "event_id"], ["user_id"])
     specs = [S.TrailingMean("rt", DAM_TRAILING_EVENTS, "dam"),
              S.Lag("prc", 1, "pred_prc"),
-             S.Lag("rt", 1, "pred_price")]
+             S.Lag("rt", 1, "pred_price"), *extra_specs]
     return S.halo_windows(pos, specs, ["user_id"], "pos", bucket_size)
 
 

@@ -551,8 +551,7 @@ def lag_features(spark, sf):
 SELECT event_id, pos, round(dam, 9) AS dam, pred_prc, pred_price,
        lag(rt, 24) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rt_24_lag FROM iv"""))
 def lag_features_by_series(spark, sf):
-    iv = I.intervals(spark, sf)
-    out = S.halo_windows(iv, [S.Lag("rt", 24, "rt_24_lag")], ["user_id"], "pos")
+    out = I.intervals(spark, sf, extra_specs=[S.Lag("rt", 24, "rt_24_lag")])
     return out.select("event_id", "pos", _r("dam", 9), "pred_prc", "pred_price", "rt_24_lag")
 
 
@@ -560,9 +559,8 @@ def lag_features_by_series(spark, sf):
 SELECT event_id, coalesce(CAST(lag(rt) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 100 AS INTEGER), 0)
   AS price_spike_lag FROM iv0"""))
 def spike_lag_flag(spark, sf):
-    iv = I.intervals(spark, sf)
-    return S.halo_windows(iv, [S.LagAbove("rt", 100.0, "price_spike_lag")], ["user_id"], "pos") \
-        .select("event_id", "price_spike_lag")
+    iv = I.intervals(spark, sf, extra_specs=[S.LagAbove("rt", 100.0, "price_spike_lag")])
+    return iv.select("event_id", "price_spike_lag")
 
 
 def _roll_sql(c, n, fn):
@@ -591,10 +589,9 @@ SELECT event_id,
 FROM iv0 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING),
   w3 AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"""))
 def rolling_by_series(spark, sf):
-    iv = I.intervals(spark, sf)
     specs = [S.Rolling("rt", 6, "mean", "rt_roll_mean_6"), S.Rolling("rt", 6, "std", "rt_roll_std_6"),
              S.Rolling("rt", 3, "max", "rt_roll_max_3")]
-    out = S.halo_windows(iv, specs, ["user_id"], "pos")
+    out = I.intervals(spark, sf, extra_specs=specs)
     return out.select("event_id", _r("rt_roll_mean_6"), _r("rt_roll_std_6"), "rt_roll_max_3")
 
 

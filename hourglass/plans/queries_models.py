@@ -25,11 +25,10 @@ HOLDOUT = ("2024-01-08", "2024-01-15")
 
 
 def model_table(spark, sf) -> DataFrame:
-    """Per-user features in one extra halo stage on top of ``intervals``."""
-    iv = I.intervals(spark, sf)
+    """Per-user features, evaluated in the same halo stage as ``intervals``."""
     specs = [S.Lag("prc", 2, "prc_lag2"), S.Rolling("prc", 6, "mean", "prc_roll_mean_6"),
              S.Rolling("rt", 6, "mean", "rt_roll_mean_6"), S.LagAbove("rt", 100.0, "spike_lag")]
-    m = S.halo_windows(iv, specs, ["user_id"], "pos")
+    m = I.intervals(spark, sf, extra_specs=specs)
     return (m.withColumnRenamed("pred_prc", "prc_lag1").withColumnRenamed("pred_price", "rt_lag1")
              .withColumn("hour", F.hour("ts").cast("double"))
              .withColumn("day_of_week", F.weekday("ts").cast("double"))
