@@ -284,3 +284,11 @@ def load_model_metadata(spark, sf):
                               meta["features"], ["event_id"], "predicted_prc")
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count("predicted_prc").alias("n_scored"),
                       F.avg("predicted_prc").alias("mean_prediction"))
+
+
+@q("model_ready")
+def model_ready_table(spark, sf):
+    """The full feature table (quality -> calendar -> positional features ->
+    ratios -> peak season -> regimes -> warm-up drop) on the hourly feeds."""
+    from .model_ready import model_ready
+    return model_ready(I.hourly(spark, sf))

@@ -154,3 +154,16 @@ def test_time_lags_follow_the_clock_not_rows(spark):
     df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, v double")
     got = {(r.s, r.ts.hour): r.v_1h_ago for r in S.time_lags(df, "ts", [("v", 1)], ["s"]).collect()}
     assert got == {("a", 0): None, ("a", 1): 1.0, ("a", 3): None, ("b", 2): None}
+
+
+def test_model_ready_table(spark):
+    from hourglass.plans import inputs as I
+    from hourglass.plans.model_ready import model_ready
+    h = I.hourly(spark, "/root/testdata/sf0.01")
+    out = model_ready(h).toPandas().sort_values("ts")
+    kept = h.na.drop(subset=["prc", "wind"]).count()
+    assert len(out) == kept - 168                          # warm-up rows dropped after the row drops
+    assert out.pos.min() == 168 and out.rt_168h_lag.notna().all()
+    assert out.rt.notna().all()                            # prices were filled
+    assert set(out.regime.dropna()) <= {"Scarcity", "Tight", "Normal", "Surplus"}
+    assert len(out.columns) > 70
