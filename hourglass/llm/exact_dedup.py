@@ -195,5 +195,6 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     verdict = dedup(spark, docs.select("doc_id", "text"))
     stay = verdict.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
     norm = F.sha2(F.translate(F.coalesce(docs["text"], F.lit("")), SPACES, "").cast("binary"), 256)
-    held = docs.withColumn("_sha", norm)
-    return held.join(stay, held["doc_id"].eqNullSafe(stay["_id"]) & (held["_sha"] == stay["_sha"]), "left_semi").dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    held = docs.select(F.struct(*docs.columns).alias("row"), norm.alias("_own"))
+    found = held.join(stay, held["row.doc_id"].eqNullSafe(stay["_id"]) & (held["_own"] == stay["_sha"]), "left_semi")
+    return found.withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "_own"]).select("row.*")

@@ -304,5 +304,6 @@ def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, pct: int = 80) ->
     v = _verdict(spark, docs.select("doc_id", "text"), k, pct)
     first = v.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("f")).select("f.doc_id", "f.text_key")
     stay = first.unionByName(v.where("comp IS NULL").select("doc_id", "text_key")).distinct().toDF("_id", "_text")
-    named = docs.withColumn("_key", F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
-    return named.join(stay, named["doc_id"].eqNullSafe(stay["_id"]) & (named["_key"] == stay["_text"]), "left_semi").dropDuplicates(["doc_id", "_key"]).drop("_key")
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")).alias("_key"))
+    found = named.join(stay, named["row.doc_id"].eqNullSafe(stay["_id"]) & (named["_key"] == stay["_text"]), "left_semi")
+    return found.withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "_key"]).select("row.*")

@@ -166,5 +166,6 @@ def mixed(docs: DataFrame, block: int = 1024, shard_rows: int = SHARD_ROWS, seed
     """
     times = _placed(docs.select("doc_id", "source", "text"), block, shard_rows, seed).where("_size > 0").groupBy("_order", "_check").agg(
         F.sum(F.floor(F.col("taken") / F.col("_size") + 0.5)).cast("int").alias("_times")).where("_times > 0")
-    named = docs.withColumns({"_order": F.xxhash64(F.lit(seed), "doc_id", "text"), "_check": F.xxhash64(F.lit("check"), "doc_id", "text")}).dropDuplicates(["_order", "_check"])
-    return named.join(times, ["_order", "_check"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_order"), F.xxhash64(F.lit("check"), "doc_id", "text").alias("_check"))
+    copies = named.dropDuplicates(["_order", "_check"]).join(times, ["_order", "_check"])
+    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select("row.*")
