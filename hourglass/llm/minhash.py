@@ -11,11 +11,12 @@
    of reaching the threshold falls below MISS.
 4. Survivors are verified on their full sets, and linked.
 
-A bucket is not expanded into pairs.  Rounds of stars link its members to a
-few pivots, which joins nearly all of a group of near copies; after each
-round connected components are updated.  What is left, buckets whose members
-are in different components, is compared exhaustively in blocks, where only
-pairs that outlive the Bayesian test leave the task.
+A bucket is not expanded into pairs.  A first round compares its members with
+one of them, which joins most of a group of near copies, and connected
+components are updated.  Buckets whose members are then in different
+components are compared in blocks, where only pairs that outlive the Bayesian
+test leave the task: first the pairs of large buckets that agree most, then,
+with components updated again, all that are left between components.
 
 Defined results: a null or blank text has an empty set and is linked with
 nothing; fewer words than a shingle make one shingle of the whole sequence;
@@ -42,8 +43,10 @@ PERMS = BANDS * ROWS
 STEP, MISS = 32, 1e-7
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1500
-#: Pivots per bucket in each round of stars.
-STARS = (1, 4)
+#: Buckets up to this size are compared wholly in one round.
+SMALL = 64
+#: Pairs that a member of a larger bucket gives for each other component before the round that gives all.
+BEST = 4
 _A = (mix64(np.arange(1, PERMS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _C = (mix64(np.arange(1001, PERMS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -98,15 +101,15 @@ def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]
     return out
 
 
-def outlive(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
-    """Indexes of the pairs (rows of a and b) that pass the size bound and every batch of the test."""
+def outlive(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (rows of a and b) that pass the size bound and every batch of the test, and their agreements."""
     left = np.flatnonzero(np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9)
     same = np.zeros(len(left), np.int64)
     for h, need in least_matches(threshold):
         same += (a[left, h - STEP : h] == b[left, h - STEP : h]).sum(axis=1)
         ok = same >= need
         left, same = left[ok], same[ok]
-    return left
+    return left, same
 
 
 def _matrix(col) -> np.ndarray:
@@ -152,7 +155,7 @@ def bayes_test(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     def run(batches):
         for p in batches:
             if p.num_rows:
-                left = outlive(_matrix(p.column("sig_a")), _matrix(p.column("sig_b")), p.column("n_a").to_numpy(), p.column("n_b").to_numpy(), threshold)
+                left, _ = outlive(_matrix(p.column("sig_a")), _matrix(p.column("sig_b")), p.column("n_a").to_numpy(), p.column("n_b").to_numpy(), threshold)
                 yield pa.RecordBatch.from_arrays([p.column("a").take(pa.array(left)), p.column("b").take(pa.array(left))], names=["a", "b"])
 
     def side(x: str) -> DataFrame:
@@ -235,39 +238,94 @@ def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     return with_comp.join(open_keys, "key", "left_semi")
 
 
-def star_pairs(labelled: DataFrame, pivots: int, seed: int) -> DataFrame:
-    """Pairs of a few pivots of each bucket with its members in other components."""
-    pick = [F.min(F.struct(F.xxhash64("cid", F.lit(seed + i)).alias("h"), "cid", "comp")).alias(f"p{i}") for i in range(pivots)]
-    chosen = labelled.groupBy("key").agg(*pick).select("key", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(pivots)]))).alias("p"))
-    met = labelled.join(chosen, "key").where("comp <> p.comp")
-    return met.select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct()
-
-
-def rest_pairs(labelled: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs across components, of all open buckets, that outlive the test; a bucket is compared in blocks of bounded size."""
-    sizes = labelled.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+def star_pairs(labelled: DataFrame) -> DataFrame:
+    """Pairs of the least member of each bucket with the others."""
+    pivot = labelled.groupBy("key").agg(F.min("cid").alias("b"))
+    return labelled.select("key", F.col("cid").alias("a")).join(pivot, "key").where("a <> b").select("a", "b").distinct()
+
+
+def _cross_pairs(t: pa.Table, threshold: float, best: int | None) -> tuple[list[bytes], list[bytes]]:
+    """Pairs across components within the groups (key, lo, hi) of a sorted table that outlive the test."""
+    key, lo, hi, blk, n = (t.column(c).to_numpy() for c in ("key", "lo", "hi", "blk", "n"))
+    cid, sig = t.column("cid").to_pylist(), _matrix(t.column("sig"))
+    comp = np.frombuffer(b"".join(t.column("comp").to_pylist()), "<u8").reshape(-1, 2)
+    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+    size = np.diff(np.r_[first, len(key)])
+    found = []
+    for m in np.unique(size[(size > 1) & (size <= SMALL)]):
+        i, j = np.triu_indices(m, 1)
+        start = first[size == m][:, None]
+        i, j = (start + i).ravel(), (start + j).ravel()
+        ok = (comp[i] != comp[j]).any(axis=1) & ((lo[i] == hi[i]) | (blk[i] != blk[j]))
+        i, j = i[ok], j[ok]
+        for at in range(0, len(i), 50_000):
+            x, y = i[at : at + 50_000], j[at : at + 50_000]
+            left, _ = outlive(sig[x], sig[y], n[x], n[y], threshold)
+            found.append((x[left], y[left]))
+    for start, m in zip(first[size > SMALL], size[size > SMALL]):
+        rows = np.arange(start, start + m)
+        _, no, count = np.unique(comp[rows], axis=0, return_inverse=True, return_counts=True)
+        no = no.ravel()
+        rank = np.lexsort((np.arange(len(count)), count)).argsort()[no]  # of a row's component, by size
+        for i in np.flatnonzero(rank < rank.max()):
+            js = np.flatnonzero((rank > rank[i]) & ((lo[start] == hi[start]) | (blk[rows] != blk[rows[i]])))
+            if not len(js):
+                continue
+            x, y = rows[i], rows[js]
+            left, same = outlive(np.broadcast_to(sig[x], (len(y), PERMS)), sig[y], np.full(len(y), n[x]), n[y], threshold)
+            if best is not None and len(left) > best:
+                # of each other component, those that agree most
+                order = np.lexsort((-same, rank[js[left]]))
+                other = rank[js[left]][order]
+                place = np.arange(len(other)) - np.searchsorted(other, other)
+                left = left[order[place < best]]
+            found.append((np.full(len(left), x), y[left]))
+    i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (0, 1))
+    return [min(cid[x], cid[y]) for x, y in zip(i, j)], [max(cid[x], cid[y]) for x, y in zip(i, j)]
+
+
+def rest_pairs(labelled: DataFrame, classes: DataFrame, threshold: float, best: int | None) -> DataFrame:
+    """Pairs across components, of open buckets, that outlive the test.
+
+    A bucket is compared in blocks of bounded size.  With ``best``, members
+    of large buckets give, for each larger component, only the pairs with
+    the most agreements (all pairs follow in a later round, when few
+    components are left); without it, small buckets are left out, as an
+    earlier round has compared them wholly.
+    """
+    sizes = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("c")).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    if best is None:
+        sizes = sizes.where(F.col("c") > SMALL)
     dealt = labelled.join(sizes, "key").join(classes, "cid").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = sent.withColumns({"lo": F.least("blk", "other"), "hi": F.greatest("blk", "other")})
-
-    def run(t: pa.Table) -> pa.Table:
-        cid, comp, blk = (t.column(c).to_pylist() for c in ("cid", "comp", "blk"))
-        sig, n = _matrix(t.column("sig")), t.column("n").to_numpy()
-        names = {c: i for i, c in enumerate(dict.fromkeys(comp))}
-        comp_no, blk = np.array([names[c] for c in comp], np.int64), np.array(blk, np.int64)
-        lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
-        a_out, b_out = [], []
-        if len(names) > 1:
-            for i in np.flatnonzero(blk == lo):
-                js = np.flatnonzero((blk == hi) & (comp_no != comp_no[i]))
-                js = js[js > i] if lo == hi else js
-                if len(js):
-                    left = js[outlive(np.broadcast_to(sig[i], (len(js), PERMS)), sig[js], np.full(len(js), n[i]), n[js], threshold)]
-                    a_out += [min(cid[i], cid[j]) for j in left]
-                    b_out += [max(cid[i], cid[j]) for j in left]
-        return pa.table({"a": pa.array(a_out, pa.binary()), "b": pa.array(b_out, pa.binary())})
-
-    return sent.select("key", "lo", "hi", "cid", "comp", "blk", "n", "sig").groupBy("key", "lo", "hi").applyInArrow(run, "a binary, b binary").distinct()
+    sent = sent.withColumns({"lo": F.least("blk", "other"), "hi": F.greatest("blk", "other")}).select("key", "lo", "hi", "blk", "n", "cid", "comp", "sig")
+
+    def run(batches):
+        kept: list = []  # rows of the group that may go on in the next batch
+
+        def ready(t: pa.Table):
+            a, b = _cross_pairs(t, threshold, best)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(c).to_numpy() for c in range(3)])
+            cut = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0))
+            same_as_kept = bool(kept) and all(kept[-1].column(c)[-1].as_py() == ids[c, 0] for c in range(3))
+            if kept and not same_as_kept:
+                yield ready(pa.Table.from_batches(kept))
+                kept = []
+            if len(cut):
+                yield ready(pa.Table.from_batches([*kept, batch.slice(0, cut[-1] + 1)]))
+                kept = [batch.slice(cut[-1] + 1)]
+            else:
+                kept.append(batch)
+        if kept:
+            yield ready(pa.Table.from_batches(kept))
+
+    grouped = sent.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return grouped.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _verdict(spark: SparkSession, docs: DataFrame, k: int, pct: int) -> DataFrame:
@@ -280,12 +338,12 @@ def _verdict(spark: SparkSession, docs: DataFrame, k: int, pct: int) -> DataFram
     members = written(every.join(shared, "key", "left_semi"), "members")
     sets = written(full_sets(docs, rows, members.select("cid").distinct(), k), "sets")
     comps, edges = None, None
-    for step, pivots in enumerate((*STARS, 0)):
+    for step in ("star", "best", "all"):
         open_buckets = _labelled(members, comps)
-        if pivots:
-            found = bayes_test(star_pairs(open_buckets, pivots, 100 * step), classes, threshold)
+        if step == "star":
+            found = bayes_test(star_pairs(open_buckets), classes, threshold)
         else:
-            found = rest_pairs(open_buckets, classes, threshold)
+            found = rest_pairs(open_buckets, classes, threshold, BEST if step == "best" else None)
         links = exact_test(written(found, "survivors"), sets, pct)
         edges = written(links if comps is None else links.unionByName(comps.select(F.col("cid").alias("a"), F.col("comp").alias("b"))), "links")
         comps = written(components(edges), "components")

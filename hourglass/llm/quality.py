@@ -27,6 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,18 +98,21 @@ def base_failed(n_words, n_repeat):
     return (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PCT * n_words)
 
 
-def measured(docs: DataFrame, cols: list[str]) -> DataFrame:
-    """``cols`` of the documents, the base counts, and per rule the grid cell of its share (``_cells``)."""
-    fields = [docs.schema[c] for c in cols]
-    schema = T.StructType([*fields, *(T.StructField(c, T.LongType()) for c in BASE), T.StructField("_cells", T.ArrayType(T.IntegerType()))])
-    src = docs.select(*cols, docs["text"].alias("_text"))
+def measured(src: DataFrame) -> DataFrame:
+    """The columns of ``src``, the base counts, and per rule the grid cell of its share (``_cells``).
+
+    The texts are the column ``_text``, which is dropped, or the field text of a column ``row``.
+    """
+    cols = [c for c in src.columns if c != "_text"]
+    schema = T.StructType([*(src.schema[c] for c in cols), *(T.StructField(c, T.LongType()) for c in BASE), T.StructField("_cells", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         for batch in batches:
-            m = np.array([measure(t) for t in batch.column(len(cols)).to_pylist()], np.int64).reshape(-1, 11)
+            texts = batch.column("_text") if "_text" in batch.schema.names else pc.struct_field(batch.column("row"), "text")
+            m = np.array([measure(t) for t in texts.to_pylist()], np.int64).reshape(-1, 11)
             # cell c: the share is in ((c - 1) / GRID, c / GRID], so cutoff k rejects the cells above k
             cells = np.ceil(np.round(shares(m) * GRID, 9)).astype(np.int32)
-            out = [batch.column(i) for i in range(len(cols))] + [pa.array(m[:, i]) for i in range(5)]
+            out = [batch.column(c) for c in cols] + [pa.array(m[:, i]) for i in range(5)]
             out.append(pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * len(RULES)), pa.array(cells.ravel())))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
@@ -176,9 +180,9 @@ def passes(cut: dict[tuple[str | None, int], int]):
     return ok
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, cols: list[str] | None = None) -> DataFrame:
-    """``cols`` (doc_id and lang by default), the base counts, base_failed and kept."""
-    m = measured(docs, cols or ["doc_id", "lang"])
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """doc_id, lang, the base counts, base_failed and kept: one row per document."""
+    m = measured(docs.select("doc_id", "lang", F.col("text").alias("_text")))
     cut = learn(m, labels, alpha, delta)
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return m.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & passes(cut)).drop("_cells")
@@ -186,11 +190,6 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
 
 def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    taken = {c.lower() for c in docs.columns}
-    m = measured(docs.select("doc_id", "lang", "text"), ["doc_id", "lang"])
-    cut = learn(m, labels, alpha, delta)
-    clash = [c for c in (*BASE, "_cells") if c in taken]
-    inner = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
-    out = measured(inner, inner.columns)
-    kept = out.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")) & passes(cut)).drop(*BASE, "_cells")
-    return kept.withColumnsRenamed({f"_own_{c}": c for c in clash})
+    cut = learn(measured(docs.select("doc_id", "lang", F.col("text").alias("_text"))), labels, alpha, delta)
+    whole = measured(docs.select(F.struct(*docs.columns).alias("row"), "lang"))
+    return whole.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")) & passes(cut)).select("row.*")

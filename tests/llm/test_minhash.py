@@ -57,9 +57,10 @@ def near_copies(seed, groups, size, words, edits):
     return rows
 
 
-@pytest.mark.parametrize("block", [1500, 7])
-def test_near_copies_around_the_threshold(spark, make_docs, monkeypatch, block):
+@pytest.mark.parametrize("block, small", [(1500, 64), (7, 2), (1500, 2)])
+def test_near_copies_around_the_threshold(spark, make_docs, monkeypatch, block, small):
     monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "SMALL", small)
     rows = near_copies(1, 40, 12, 90, 8)
     want = brute(rows, 4, 80)
     assert 100 < len({w[2] for w in want}) < len(rows)

@@ -39,13 +39,13 @@ def test_cutoffs_keep_the_risk_and_catch_what_they_can():
 
 
 def test_judge(spark, make_docs, odd_rows):
-    docs = make_docs(odd_rows, extra=True)
+    docs = make_docs([*odd_rows, (11, " ".join(f"w{i}" for i in range(60)))], extra=True)
     labels = spark.createDataFrame([(4, 1, 0), (6, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     out = Q.judge(docs, labels).collect()
-    assert len(out) == len(odd_rows)
-    assert {r.doc_id for r in out if r.kept} == {6}
+    assert len(out) == len(odd_rows) + 1
+    assert {r.doc_id for r in out if r.kept} == {11}
     kept = Q.keep_good(docs, labels)
-    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [6]
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [11]
     assert Q.keep_good(make_docs([]), labels.limit(0)).count() == 0
 
 
