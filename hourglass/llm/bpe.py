@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ._shared import ship
+
 #: The published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts beyond this many characters are cut where a piece starts in any case.
@@ -210,6 +212,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     fs, path = pafs.FileSystem.from_uri(tokenizer_path) if "://" in tokenizer_path else (pafs.LocalFileSystem(), tokenizer_path)
     with fs.open_input_file(path) as f:
         raw = spark.sparkContext.broadcast(f.read())
+    ship(spark)
     fields = [docs.schema[c] for c in keep]
     src = docs.select(*keep, docs["text"].alias("_text"))
     schema = "".join(f"`{x.name}` {x.dataType.simpleString()}, " for x in fields) + "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import SPACES, crc_mod, mix64, written
+from ._shared import SPACES, crc_mod, mix64, ship, written
 
 #: Digests per filter shard: bounds a shard's build in memory.
 SHARD_DIGESTS = 400_000
@@ -162,6 +162,7 @@ def dedup(spark: SparkSession, docs: DataFrame, in_snapshot: Column | None = Non
     ``in_snapshot`` tells the rows of the immutable snapshot from those of
     the new batch (by default, by the id's hash).
     """
+    ship(spark)
     in_snapshot = crc_mod(docs["doc_id"], 2) == 0 if in_snapshot is None else in_snapshot
     rows = written(digests(docs, in_snapshot.alias("old")), "digests")
     old = written(buckets(rows.where("old")), "buckets")

@@ -14,9 +14,9 @@
 A bucket is not expanded into pairs.  A first round compares its members with
 one of them, which joins most of a group of near copies, and connected
 components are updated.  Buckets whose members are then in different
-components are compared in blocks, where only pairs that outlive the Bayesian
-test leave the task: first the pairs of large buckets that agree most, then,
-with components updated again, all that are left between components.
+components are compared once more, only across components: small ones give the
+pairs that outlive the Bayesian test; larger ones are cut into blocks, and a
+task with two blocks and their sets gives the verified links alone.
 
 Defined results: a null or blank text has an empty set and is linked with
 nothing; fewer words than a shingle make one shingle of the whole sequence;
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import mix64, written
+from ._shared import mix64, ship, written
 
 BANDS, ROWS = 32, 5
 PERMS = BANDS * ROWS
@@ -43,10 +43,10 @@ PERMS = BANDS * ROWS
 STEP, MISS = 32, 1e-7
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1500
-#: Buckets up to this size are compared wholly in one round.
+#: Buckets up to this size give their pairs as rows.
 SMALL = 64
-#: Pairs that a member of a larger bucket gives for each other component before the round that gives all.
-BEST = 4
+#: Pairs with another component that are verified first.
+FIRST = 8
 _A = (mix64(np.arange(1, PERMS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _C = (mix64(np.arange(1001, PERMS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -137,7 +137,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(key, cid), BANDS rows a class: the key hashes the band's number and minima."""
+    """(key, band, cid), BANDS rows a class: the key hashes the band's number and minima."""
     def run(batches):
         for batch in batches:
             m = _matrix(batch.column("sig")).astype(np.uint64).reshape(-1, BANDS, ROWS)
@@ -145,9 +145,10 @@ def bands(classes: DataFrame) -> DataFrame:
             for i in range(ROWS):
                 key = mix64(key * _MUL + m[:, :, i])
             cid = batch.column("cid").take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), cid], names=["key", "cid"])
+            band = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), band, cid], names=["key", "band", "cid"])
 
-    return classes.select("cid", "sig").mapInArrow(run, "key long, cid binary")
+    return classes.select("cid", "sig").mapInArrow(run, "key long, band int, cid binary")
 
 
 def bayes_test(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -229,107 +230,145 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "cid").unionByName(e.select(F.col("b").alias("cid"), F.col("b").alias("comp")).distinct())
 
 
-def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Members (key, cid) of buckets that span several components, with comp."""
-    if comps is None:
-        return members.withColumn("comp", F.col("cid"))
+def open_members(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members of the buckets that span several components, with comp."""
     with_comp = members.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     open_keys = with_comp.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     return with_comp.join(open_keys, "key", "left_semi")
 
 
-def star_pairs(labelled: DataFrame) -> DataFrame:
+def star_pairs(members: DataFrame) -> DataFrame:
     """Pairs of the least member of each bucket with the others."""
-    pivot = labelled.groupBy("key").agg(F.min("cid").alias("b"))
-    return labelled.select("key", F.col("cid").alias("a")).join(pivot, "key").where("a <> b").select("a", "b").distinct()
+    pivot = members.groupBy("key").agg(F.min("cid").alias("b"))
+    return members.select("key", F.col("cid").alias("a")).join(pivot, "key").where("a <> b").select("a", "b").distinct()
 
 
-def _cross_pairs(t: pa.Table, threshold: float, best: int | None) -> tuple[list[bytes], list[bytes]]:
-    """Pairs across components within the groups (key, lo, hi) of a sorted table that outlive the test."""
-    key, lo, hi, blk, n = (t.column(c).to_numpy() for c in ("key", "lo", "hi", "blk", "n"))
-    cid, sig = t.column("cid").to_pylist(), _matrix(t.column("sig"))
-    comp = np.frombuffer(b"".join(t.column("comp").to_pylist()), "<u8").reshape(-1, 2)
+def _groups(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """First row and size of each group (key, lo, hi) of a sorted table."""
+    key, lo, hi = (t.column(c).to_numpy() for c in ("key", "lo", "hi"))
     first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
-    size = np.diff(np.r_[first, len(key)])
-    found = []
-    for m in np.unique(size[(size > 1) & (size <= SMALL)]):
+    return first, np.diff(np.r_[first, len(key)])
+
+
+def _small_pairs(t: pa.Table, threshold: float, pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs, across components, of small groups that outlive the test."""
+    first, size = _groups(t)
+    n, sig = t.column("n").to_numpy(), _matrix(t.column("sig"))
+    comp = np.frombuffer(b"".join(t.column("comp").to_pylist()), "<u8").reshape(-1, 2)
+    found = [(np.zeros(0, int),) * 2]
+    for m in np.unique(size[size > 1]):
         i, j = np.triu_indices(m, 1)
         start = first[size == m][:, None]
         i, j = (start + i).ravel(), (start + j).ravel()
-        ok = (comp[i] != comp[j]).any(axis=1) & ((lo[i] == hi[i]) | (blk[i] != blk[j]))
+        ok = (comp[i] != comp[j]).any(axis=1)
         i, j = i[ok], j[ok]
         for at in range(0, len(i), 50_000):
             x, y = i[at : at + 50_000], j[at : at + 50_000]
             left, _ = outlive(sig[x], sig[y], n[x], n[y], threshold)
             found.append((x[left], y[left]))
-    for start, m in zip(first[size > SMALL], size[size > SMALL]):
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _large_links(t: pa.Table, threshold: float, pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of large groups: for each row, one to every larger component that has a similar member.
+
+    Survivors of the test are verified on the full sets, those with the most
+    agreements first, until one holds or all have failed.  A pair is left to
+    the first band that it shares.
+    """
+    n, sig, band = t.column("n").to_numpy(), _matrix(t.column("sig")), t.column("band").to_numpy()
+    lo, hi, blk = (t.column(c).to_numpy() for c in ("lo", "hi", "blk"))
+    comp = np.frombuffer(b"".join(t.column("comp").to_pylist()), "<u8").reshape(-1, 2)
+    sets = t.column("shingles")
+    take = lambda r: np.frombuffer(sets[int(r)].as_py(), "<u8")
+    out_i, out_j = [], []
+
+    def holds(x: int, ys: np.ndarray) -> np.ndarray:
+        own, others = take(x), [take(y) for y in ys]
+        flat = np.concatenate(others)
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        both = np.add.reduceat(own[at] == flat, np.r_[0, np.cumsum([len(o) for o in others])[:-1]], dtype=np.int64)
+        return 100 * both >= pct * (n[x] + n[ys] - both)
+
+    for start, m in zip(*_groups(t)):
         rows = np.arange(start, start + m)
         _, no, count = np.unique(comp[rows], axis=0, return_inverse=True, return_counts=True)
-        no = no.ravel()
-        rank = np.lexsort((np.arange(len(count)), count)).argsort()[no]  # of a row's component, by size
+        rank = np.argsort(np.lexsort((np.arange(len(count)), count)))[no.ravel()]  # of a row's component, by size
         for i in np.flatnonzero(rank < rank.max()):
             js = np.flatnonzero((rank > rank[i]) & ((lo[start] == hi[start]) | (blk[rows] != blk[rows[i]])))
             if not len(js):
                 continue
-            x, y = rows[i], rows[js]
-            left, same = outlive(np.broadcast_to(sig[x], (len(y), PERMS)), sig[y], np.full(len(y), n[x]), n[y], threshold)
-            if best is not None and len(left) > best:
-                # of each other component, those that agree most
-                order = np.lexsort((-same, rank[js[left]]))
-                other = rank[js[left]][order]
-                place = np.arange(len(other)) - np.searchsorted(other, other)
-                left = left[order[place < best]]
-            found.append((np.full(len(left), x), y[left]))
-    i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (0, 1))
-    return [min(cid[x], cid[y]) for x, y in zip(i, j)], [max(cid[x], cid[y]) for x, y in zip(i, j)]
-
-
-def rest_pairs(labelled: DataFrame, classes: DataFrame, threshold: float, best: int | None) -> DataFrame:
-    """Pairs across components, of open buckets, that outlive the test.
-
-    A bucket is compared in blocks of bounded size.  With ``best``, members
-    of large buckets give, for each larger component, only the pairs with
-    the most agreements (all pairs follow in a later round, when few
-    components are left); without it, small buckets are left out, as an
-    earlier round has compared them wholly.
-    """
-    sizes = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("c")).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    if best is None:
-        sizes = sizes.where(F.col("c") > SMALL)
-    dealt = labelled.join(sizes, "key").join(classes, "cid").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = sent.withColumns({"lo": F.least("blk", "other"), "hi": F.greatest("blk", "other")}).select("key", "lo", "hi", "blk", "n", "cid", "comp", "sig")
-
+            x, ys = rows[i], rows[js]
+            left, same = outlive(np.broadcast_to(sig[x], (len(ys), PERMS)), sig[ys], np.full(len(ys), n[x]), n[ys], threshold)
+            ys, other = ys[left], rank[js[left]]
+            mine = (sig[ys] == sig[x]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[x]
+            order = np.lexsort((-same[mine], other[mine]))
+            ys, other = ys[mine][order], other[mine][order]
+            place = np.arange(len(ys)) - np.searchsorted(other, other)
+            done: set[int] = set()
+            for which in (np.flatnonzero(place < FIRST), np.flatnonzero(place >= FIRST)):
+                for at in range(0, len(which), 256):
+                    part = which[at : at + 256]
+                    part = part[~np.isin(other[part], list(done))]
+                    for g in part[holds(x, ys[part])] if len(part) else ():
+                        if int(other[g]) not in done:
+                            done.add(int(other[g]))
+                            out_i.append(x)
+                            out_j.append(ys[g])
+    return np.array(out_i, int), np.array(out_j, int)
+
+
+def _in_groups(sent: DataFrame, find, threshold: float, pct: int) -> DataFrame:
+    """The pairs (a, b) that ``find`` returns for the groups (key, lo, hi); a task holds one batch and one open group."""
     def run(batches):
         kept: list = []  # rows of the group that may go on in the next batch
 
-        def ready(t: pa.Table):
-            a, b = _cross_pairs(t, threshold, best)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        def ready(parts: list):
+            t = pa.Table.from_batches(parts).combine_chunks()
+            cid = t.column("cid").to_pylist()
+            pairs = [(min(cid[i], cid[j]), max(cid[i], cid[j])) for i, j in zip(*find(t, threshold, pct))]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.stack([batch.column(c).to_numpy() for c in range(3)])
-            cut = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0))
-            same_as_kept = bool(kept) and all(kept[-1].column(c)[-1].as_py() == ids[c, 0] for c in range(3))
-            if kept and not same_as_kept:
-                yield ready(pa.Table.from_batches(kept))
+            ids = np.stack([batch.column(c).to_numpy() for c in ("key", "lo", "hi")])
+            if kept and any(kept[-1].column(c)[-1].as_py() != ids[i, 0] for i, c in enumerate(("key", "lo", "hi"))):
+                yield ready(kept)
                 kept = []
+            cut = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0))
             if len(cut):
-                yield ready(pa.Table.from_batches([*kept, batch.slice(0, cut[-1] + 1)]))
+                yield ready([*kept, batch.slice(0, cut[-1] + 1)])
                 kept = [batch.slice(cut[-1] + 1)]
             else:
                 kept.append(batch)
         if kept:
-            yield ready(pa.Table.from_batches(kept))
+            yield ready(kept)
 
-    grouped = sent.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return grouped.mapInArrow(run, "a binary, b binary").distinct()
+    return sent.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def rest_links(labelled: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float, pct: int) -> DataFrame:
+    """Verified links across the components of open buckets, each component pair of a bucket at least once if linked.
+
+    Small buckets give the pairs that outlive the test, which are verified
+    as rows.  Larger ones are cut into blocks of bounded size; a task gets two
+    blocks with their full sets and gives verified links only.
+    """
+    sizes = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    dealt = labelled.join(sizes, "key").join(classes, "cid").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    one = F.lit(0)
+    small = dealt.where(F.col("c") <= SMALL).select("key", one.alias("lo"), one.alias("hi"), "n", "cid", "comp", "sig")
+    pairs = written(_in_groups(small, _small_pairs, threshold, pct), "survivors")
+    large = dealt.where(F.col("c") > SMALL).join(sets, "cid").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    sent = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("key", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "band", "n", "cid", "comp", "sig", "shingles")
+    return exact_test(pairs, sets, pct).unionByName(_in_groups(sent, _large_links, threshold, pct))
 
 
 def _verdict(spark: SparkSession, docs: DataFrame, k: int, pct: int) -> DataFrame:
     """doc_id, text_key, n, comp, component_id."""
+    ship(spark)
     threshold = pct / 100
     rows = written(sketches(docs, k), "sketches")
     classes = written(rows.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
@@ -337,16 +376,12 @@ def _verdict(spark: SparkSession, docs: DataFrame, k: int, pct: int) -> DataFram
     shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     members = written(every.join(shared, "key", "left_semi"), "members")
     sets = written(full_sets(docs, rows, members.select("cid").distinct(), k), "sets")
-    comps, edges = None, None
-    for step in ("star", "best", "all"):
-        open_buckets = _labelled(members, comps)
-        if step == "star":
-            found = bayes_test(star_pairs(open_buckets), classes, threshold)
-        else:
-            found = rest_pairs(open_buckets, classes, threshold, BEST if step == "best" else None)
-        links = exact_test(written(found, "survivors"), sets, pct)
-        edges = written(links if comps is None else links.unionByName(comps.select(F.col("cid").alias("a"), F.col("comp").alias("b"))), "links")
-        comps = written(components(edges), "components")
+    stars = written(bayes_test(star_pairs(members), classes, threshold), "survivors")
+    links = written(exact_test(stars, sets, pct), "links")
+    comps = written(components(links), "components")
+    more = written(rest_links(open_members(members, comps), classes, sets, threshold, pct), "links")
+    before = comps.select(F.col("cid").alias("a"), F.col("comp").alias("b"))
+    comps = written(components(more.unionByName(before)), "components")
     labelled = rows.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = labelled.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return labelled.join(least, "comp", "left").select("doc_id", "text_key", "n", "comp", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ._shared import SPACES, written
+from ._shared import SPACES, ship, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -124,6 +124,7 @@ def shard_plan(shards: DataFrame, block: int, most: float = MOST) -> DataFrame:
 
 def _placed(docs: DataFrame, block: int, shard_rows: int, seed: int) -> DataFrame:
     """Each document's words taken, with two hashes (_order, _check) that name its row."""
+    ship(docs.sparkSession)
     key = F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit("")))
     rows = docs.select(docs["doc_id"].alias("_id"), docs["source"].cast("string").alias("source"), n_words(docs["text"]).alias("_size"),
                        F.xxhash64(F.lit(seed), docs["doc_id"], docs["text"]).alias("_order"), F.xxhash64(F.lit("check"), docs["doc_id"], docs["text"]).alias("_check"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import SPACES
+from ._shared import SPACES, ship
 
 #: Allowed false rejections of good documents per stratum, over all rules.
 ALPHA = 0.02
@@ -103,6 +103,7 @@ def measured(src: DataFrame) -> DataFrame:
 
     The texts are the column ``_text``, which is dropped, or the field text of a column ``row``.
     """
+    ship(src.sparkSession)
     cols = [c for c in src.columns if c != "_text"]
     schema = T.StructType([*(src.schema[c] for c in cols), *(T.StructField(c, T.LongType()) for c in BASE), T.StructField("_cells", T.ArrayType(T.IntegerType()))])
 

@@ -57,7 +57,7 @@ def near_copies(seed, groups, size, words, edits):
     return rows
 
 
-@pytest.mark.parametrize("block, small", [(1500, 64), (7, 2), (1500, 2)])
+@pytest.mark.parametrize("block, small", [(1500, 64), (7, 1), (1500, 1)])
 def test_near_copies_around_the_threshold(spark, make_docs, monkeypatch, block, small):
     monkeypatch.setattr(M, "BLOCK", block)
     monkeypatch.setattr(M, "SMALL", small)
