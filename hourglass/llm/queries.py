@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, mixing, quality
-from ._shared import load
+from . import bpe, exact_dedup, langid, line_dedup, lm, minhash, mixing, quality, suffix_dedup, warc
+from ._shared import crc_mod, load
 
 
 def tokenizer_path() -> str:
@@ -18,15 +18,37 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, load(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(spark, load(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, load(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, load(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, load(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 4) != 2)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(spark, load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(spark, load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -42,13 +64,43 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
-QUERIES: dict = {
-    "op1_bpe": (op1_bpe, None),
-    "op4_exact_dedup": (op4_exact_dedup, f"""
+SQL_3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha1(body) AS payload_digest, md5(body) AS m FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, m, payload_bytes) AS ref FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND ref <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND ref <> page_id THEN ref END AS refers_to FROM g"""
+
+SQL_4 = f"""
 WITH n AS (SELECT doc_id, sha256({NORM}) AS text_sha256, length(coalesce(text, '')) AS chars FROM documents),
 g AS (SELECT text_sha256, count(*) AS group_size, arg_min(doc_id, (-chars, doc_id)) AS keep_id FROM n GROUP BY 1)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n JOIN g USING (text_sha256)"""),
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n JOIN g USING (text_sha256)"""
+
+SQL_7 = f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) % {line_dedup.PRIME} AS h FROM lines),
+r AS (SELECT *, (h + coalesce(lag(h, 1) OVER w, 0) * {line_dedup.BASE} % {line_dedup.PRIME}
+        + coalesce(lag(h, 2) OVER w, 0) * {pow(line_dedup.BASE, 2, line_dedup.PRIME)} % {line_dedup.PRIME}) % {line_dedup.PRIME} % {line_dedup.AVERAGE} = 0 AS cut
+      FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM r),
+t AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM c GROUP BY ALL),
+f AS (SELECT *, n >= {line_dedup.MIN_LINES} AND row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS gone FROM t)
+SELECT d.doc_id, coalesce(sum(n), 0)::BIGINT AS n_lines, count(f.doc_id) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks,
+       coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
+       sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY d.doc_id"""
+
+#: name: (query, SQL).  Where SQL is None, tests/llm compare with brute force: the tokenizer's merges (1), EM (2),
+#: trained machines (5), certified cutoffs (6), all 400-byte strings (8), apportionment (9), components (10).
+QUERIES: dict = {
+    "op1_bpe": (op1_bpe, None),
+    "op2_lm_scoring": (op2_lm_scoring, None),
+    "op3_warc": (op3_warc, SQL_3),
+    "op4_exact_dedup": (op4_exact_dedup, SQL_4),
+    "op5_language_id": (op5_language_id, None),
     "op6_quality_rules": (op6_quality_rules, None),
+    "op7_line_dedup": (op7_line_dedup, SQL_7),
+    "op8_suffix_dedup": (op8_suffix_dedup, None),
     "op9_source_mixing": (op9_source_mixing, None),
     "op10_minhash_near_dedup": (op10_minhash_near_dedup, None),
     "pipeline": (pipeline, None),
