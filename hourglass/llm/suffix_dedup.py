@@ -41,29 +41,42 @@ LENGTH, GRAM = 400, 16
 WINDOW = LENGTH - GRAM + 1
 #: First offset of the second range of anchor offsets.
 SPLIT = 193
-#: Bytes of a text looked at in one go.
-BLOCK = 4 << 20
+#: Bytes looked at in one go.
+BLOCK = 1 << 20
 #: Bytes of pieces in a shard, on average; pieces of one core in a shard.
-SHARD_BYTES, SHARD_PIECES = 6 << 20, 8192
+SHARD_BYTES, SHARD_PIECES = 3 << 19, 2048
 #: Hash ranges among which the strings of cut cores are merged.
 RANGES = 256
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 
 
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse modulo 2**64; kept for the next text."""
+    have = _powers.get(base)
+    if have is None or len(have[0]) < n:
+        have = tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, np.uint64(x))], dtype=np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+        _powers[base] = have
+    return have[0][:n], have[1][:n]
+
+
 class Rolling:
     """64-bit hashes of any byte ranges of a text by prefix sums over powers of an odd base."""
 
     def __init__(self, data: np.ndarray, base: int):
-        n = len(data)
-        inverse = pow(base, -1, 1 << 64)
-        power = np.cumprod(np.r_[np.uint64(1), np.full(n, np.uint64(base))], dtype=np.uint64)
-        self.back = np.cumprod(np.r_[np.uint64(1), np.full(n, np.uint64(inverse))], dtype=np.uint64)
-        self.sums = np.r_[np.uint64(0), np.cumsum(_TABLE[data] * power[:n], dtype=np.uint64)]
+        power, self.back = powers(base, len(data) + 1)
+        self.sums = np.r_[np.uint64(0), np.cumsum(_TABLE[data] * power[:-1], dtype=np.uint64)]
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix64((self.sums[stop] - self.sums[start]) * self.back[start] + (stop - start).astype(np.uint64))
 
+    def every(self, size: int) -> np.ndarray:
+        """Hashes of all ranges of one size."""
+        return mix64((self.sums[size:] - self.sums[:-size]) * self.back[: len(self.sums) - size] + np.uint64(size))
+
 
 def sliding_argmin(x: np.ndarray, w: int) -> np.ndarray:
     """Position of the least of each w neighbours (the first of equal ones)."""
@@ -79,27 +92,57 @@ def sliding_argmin(x: np.ndarray, w: int) -> np.ndarray:
     return (np.minimum(behind[: n - w + 1], ahead[w - 1 : n]) & low).astype(np.int64)
 
 
-def pieces_of(raw: bytes, block: int = BLOCK) -> list[np.ndarray]:
-    """key, hash 1, hash 2, first start, number of starts of a text's pieces."""
-    n_starts = len(raw) - LENGTH + 1
-    out = []
-    for lo in range(0, n_starts, block):
-        data = np.frombuffer(raw, np.uint8)[lo : lo + block + LENGTH - 1]
-        one, two = Rolling(data, _BASES[0]), Rolling(data, _BASES[1])
-        at = np.arange(len(data) - GRAM + 1)
-        anchor = sliding_argmin(one.of(at, at + GRAM), WINDOW)
-        start = np.arange(len(anchor))
-        part = (anchor - start >= SPLIT).astype(np.int64)
-        name = anchor * 2 + part
-        first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
-        count = np.diff(np.r_[first, len(name)])
-        a, far = anchor[first], part[first] == 1
-        # the core of each range lies in all its strings: from the least to the greatest offset
-        core_lo, core_hi = np.where(far, a - SPLIT, a), np.where(far, a + GRAM, a - SPLIT + 1 + LENGTH)
-        key = mix64(one.of(core_lo, core_hi) ^ mix64(two.of(core_lo, core_hi) + far.astype(np.uint64)))
-        end = first + count - 1 + LENGTH
-        out.append(np.stack([key.view(np.int64), one.of(first, end).view(np.int64), two.of(first, end).view(np.int64), first + lo, count]))
-    return out
+def pieces_of(texts: list[bytes], block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Text number, and key, hash 1, hash 2, first start and number of starts of the texts' pieces.
+
+    Short texts are looked at together, long ones in blocks.
+    """
+    number, out = [np.zeros(0, np.int64)], [np.zeros((5, 0), np.int64)]
+    size = np.array([len(t) for t in texts], np.int64)
+    i = 0
+    while i < len(texts):
+        if size[i] > block:
+            for lo in range(0, int(size[i]) - LENGTH + 1, block):
+                _, p = _pieces(texts[i][lo : lo + block + LENGTH - 1], np.zeros(1, np.int64))
+                p[3] += lo
+                number.append(np.full(p.shape[1], i))
+                out.append(p)
+            i += 1
+            continue
+        j = i + max(1, int(np.searchsorted(np.cumsum(size[i:]), block, side="right")))
+        first = np.cumsum(size[i:j]) - size[i:j]
+        n, p = _pieces(b"".join(texts[i:j]), first)
+        number.append(n + i)
+        out.append(p)
+        i = j
+    return np.concatenate(number), np.concatenate(out, axis=1)
+
+
+def _pieces(raw: bytes, text_start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if len(raw) < LENGTH:
+        return np.zeros(0, np.int64), np.zeros((5, 0), np.int64)
+    data = np.frombuffer(raw, np.uint8)
+    one, two = Rolling(data, _BASES[0]), Rolling(data, _BASES[1])
+    anchor = sliding_argmin(one.every(GRAM), WINDOW)
+    start = np.arange(len(anchor))
+    name = anchor * 2 + (anchor - start >= SPLIT)
+    whole = np.ones(len(anchor), bool)  # strings that end in the text they start in
+    for d in text_start[1:]:
+        whole[max(0, d - LENGTH + 1) : d] = False
+    change = name[1:] != name[:-1]
+    change |= whole[1:] != whole[:-1]
+    head = np.r_[True, change]
+    head[text_start[text_start < len(head)]] = True
+    first = np.flatnonzero(head)
+    count = np.diff(np.r_[first, len(name)])
+    first, count = first[whole[first]], count[whole[first]]
+    a, far = name[first] >> 1, (name[first] & 1) == 1
+    # the core of each range lies in all its strings: from the least to the greatest offset
+    core_lo, core_hi = np.where(far, a - SPLIT, a), np.where(far, a + GRAM, a - SPLIT + 1 + LENGTH)
+    key = mix64(one.of(core_lo, core_hi) ^ mix64(two.of(core_lo, core_hi) + far.astype(np.uint64)))
+    end = first + count - 1 + LENGTH
+    text = np.searchsorted(text_start, first, side="right") - 1
+    return text, np.stack([key.view(np.int64), one.of(first, end).view(np.int64), two.of(first, end).view(np.int64), first - text_start[text], count])
 
 
 # --- suffix arrays --------------------------------------------------------------
@@ -107,35 +150,27 @@ def pieces_of(raw: bytes, block: int = BLOCK) -> list[np.ndarray]:
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by their suffixes up to ``depth`` symbols at least (Larsson-Sadakane refinement)."""
     n = len(data)
-    order = np.argsort(data, kind="stable")
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
-
-    def heads(sorted_keys: np.ndarray) -> np.ndarray:
-        return np.r_[True, sorted_keys[1:] != sorted_keys[:-1]]
-
-    def settle(where: np.ndarray, head: np.ndarray) -> None:
-        """Ranks: a group's number is the place of its first member."""
-        group = np.maximum.accumulate(np.where(head, where, 0))
-        rank[order[where]] = group
-
-    places = np.arange(n)
-    head = heads(data[order]) if n else np.zeros(0, bool)
-    settle(places, head)
-    h = 1
-    while h < depth:
-        # unsorted groups: more than one member
-        group = rank[order[places]]
-        size = np.bincount(np.cumsum(heads(group)) - 1) if len(group) else np.zeros(0, int)
-        places = places[np.repeat(size > 1, size)]
-        if not len(places):
-            break
+    rank = np.full(n + 1, -1, np.int64)
+    wide = np.r_[data.astype(np.int64) + 1, 0, 0]
+    bits = int(wide.max()).bit_length()
+    h = 3 if 3 * bits <= 63 else 1
+    key = (wide[:-2] << 2 * bits) | (wide[1:-1] << bits) | wide[2:] if h == 3 else wide[:-2]
+    order = np.argsort(key)
+
+    def settle(places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Ranks the suffixes at these places by their sorted keys (a group's rank is the place of its
+        first member); returns the places in groups that aren't sorted yet."""
+        head = np.r_[True, keys[1:] != keys[:-1]]
+        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0))
+        return places[~(head & np.r_[head[1:], True])]
+
+    places = settle(np.arange(n), key[order])
+    while h < depth and len(places):
         member = order[places]
-        group, ahead = rank[member], rank[np.minimum(member + h, n)]
-        again = np.lexsort((ahead, group))
+        key = rank[member] * (n + 1) + rank[np.minimum(member + h, n)] + 1
+        again = np.argsort(key)
         order[places] = member[again]
-        g, x = group[again], ahead[again]
-        settle(places, np.r_[True, (g[1:] != g[:-1]) | (x[1:] != x[:-1])])
+        places = settle(places, key[again])
         h *= 2
     return order
 
@@ -193,16 +228,12 @@ def runs(mask: np.ndarray) -> list[int]:
 def piece_table(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            rk, found, count = batch.column(0).to_numpy(), [], []
-            for text in batch.column(1).to_pylist():
-                parts = pieces_of(text.encode()) if text and 4 * len(text) >= LENGTH else []
-                found += parts
-                count.append(sum(p.shape[1] for p in parts))
-            p = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
+            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
+            number, p = pieces_of(texts)
+            owner = batch.column(0).to_numpy()[number]
             for lo in range(0, p.shape[1], 50_000):
                 q = p[:, lo : lo + 50_000]
-                owner = np.repeat(rk, count)[lo : lo + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(q[0]), pa.array(q[1]), pa.array(q[2]), pa.array(owner), pa.array(q[3]), pa.array(q[4])], names=["key", "h1", "h2", "rk", "start", "starts"])
+                yield pa.RecordBatch.from_arrays([pa.array(q[0]), pa.array(q[1]), pa.array(q[2]), pa.array(owner[lo : lo + 50_000]), pa.array(q[3]), pa.array(q[4])], names=["key", "h1", "h2", "rk", "start", "starts"])
 
     return docs.select("rk", "text").mapInArrow(run, "key long, h1 long, h2 long, rk long, start long, starts long")
 
@@ -216,8 +247,7 @@ def shard_marks(texts: DataFrame) -> DataFrame:
         hashes = []
         for c, x in zip(content, cut):
             data = np.frombuffer(c, np.uint8)
-            at = np.arange(len(data) - LENGTH + 1)
-            hashes.append(Rolling(data, _BASES[0]).of(at, at + LENGTH).view(np.int64).tolist() if x else [])
+            hashes.append(Rolling(data, _BASES[0]).every(LENGTH).view(np.int64).tolist() if x else [])
         return pa.table([t.column(c) for c in ("key", "h1", "h2", "sub")] + [pa.array([runs(m) for m in marks], pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
                         names=["key", "h1", "h2", "sub", "runs", "hashes"])
 

@@ -41,13 +41,15 @@ def test_suffix_array_and_common_prefixes():
             assert x == k
 
 
-def test_pieces_cover_every_start_once(monkeypatch):
+@pytest.mark.parametrize("block", [S.BLOCK, 6000, 700])
+def test_pieces_cover_every_start_once(block):
     r = random.Random(2)
-    raw = bytes(r.choice(b"abc ") for _ in range(5000))
-    for block in (S.BLOCK, 700):
-        p = np.concatenate(S.pieces_of(raw, block), axis=1)
-        starts = [s for first, count in zip(p[3], p[4]) for s in range(first, first + count)]
-        assert sorted(starts) == list(range(len(raw) - 399))
+    texts = [bytes(r.choice(b"abc ") for _ in range(n)) for n in (5000, 10, 400, 399, 0, 401, 2000, 5000)]
+    number, p = S.pieces_of(texts, block)
+    for i, t in enumerate(texts):
+        own = p[:, number == i]
+        starts = [s for first, count in zip(own[3], own[4]) for s in range(first, first + count)]
+        assert sorted(starts) == list(range(len(t) - 399))
 
 
 @pytest.fixture()
