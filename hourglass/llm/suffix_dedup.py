@@ -16,8 +16,8 @@ the shard of the core:
   suffixes are neighbours too and have a symbol in common, the prefix is one shorter, so only the heads of
   such runs are compared.
 * A core with very many pieces is cut into several shards.  Each sends its
-  sorted string hashes on, by range of hash, and the shards' lists are merged
-  by binary search in each other.
+  sorted string hashes on, by range of hash, and the lists of all its shards
+  are merged by binary search in each other.
 
 Defined results: a null text counts as empty; texts below 400 bytes keep all
 bytes, unless nothing; the same string twice in one document is a repeat;
@@ -238,38 +238,55 @@ def piece_table(docs: DataFrame) -> DataFrame:
     return docs.select("rk", "text").mapInArrow(run, "key long, h1 long, h2 long, rk long, start long, starts long")
 
 
-def shard_marks(texts: DataFrame) -> DataFrame:
-    """Repeated starts of each piece, by the suffix array of its shard; ``cut`` pieces also give their strings' hashes."""
-    def run(t: pa.Table) -> pa.Table:
-        content, copies = t.column("piece").to_pylist(), t.column("n").to_pylist()
-        cut = t.column("cut").to_pylist()
-        marks = [m if n < 2 else np.ones(len(m), bool) for m, n in zip(repeated_starts(content), copies)]
-        hashes = []
-        for c, x in zip(content, cut):
-            data = np.frombuffer(c, np.uint8)
-            hashes.append(Rolling(data, _BASES[0]).every(LENGTH).view(np.int64).tolist() if x else [])
-        return pa.table([t.column(c) for c in ("key", "h1", "h2", "sub")] + [pa.array([runs(m) for m in marks], pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
-                        names=["key", "h1", "h2", "sub", "runs", "hashes"])
+MARKS = "key long, h1 long, h2 long, runs array<int>, sub int, range int, list binary"
 
-    return texts.groupBy("shard").applyInArrow(run, "key long, h1 long, h2 long, sub int, runs array<int>, hashes array<long>")
 
+def shard_marks(texts: DataFrame) -> DataFrame:
+    """Repeated starts of each piece, by the suffix array of its shard.
 
-def merged_marks(cut: DataFrame) -> DataFrame:
+    Shards of ``cut`` cores also give their lists: a row for each range of
+    hashes with the sorted hashes of the strings there, the number of each
+    one's piece, its place, and the pieces' names.
+    """
+    def run(t: pa.Table) -> pa.Table:
+        content, copies = t.column("piece").to_pylist(), t.column("n").to_numpy()
+        key, h1, h2, sub = (t.column(c).to_numpy() for c in ("key", "h1", "h2", "sub"))
+        marks = [m if n < 2 else np.ones(len(m), bool) for m, n in zip(repeated_starts(content), copies)]
+        out = [(key[i], h1[i], h2[i], runs(m), sub[i], -1, None) for i, m in enumerate(marks) if m.any()]
+        if t.column("cut")[0].as_py():  # then all pieces are of one core
+            size = np.array([len(c) - LENGTH + 1 for c in content])
+            h = np.concatenate([Rolling(np.frombuffer(c, np.uint8), _BASES[0]).every(LENGTH) for c in content])
+            owner = np.repeat(np.arange(len(content)), size)
+            place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
+            order = np.argsort(h)
+            edge = np.searchsorted(h[order], np.arange(RANGES, dtype=np.uint64) << np.uint64(56))
+            for r, part in enumerate(np.split(order, edge[1:])):
+                if len(part):
+                    o = owner[part]
+                    blob = np.stack([h[part].view(np.int64), h1[o], h2[o], place[part]]).tobytes()
+                    out.append((key[0], 0, 0, [], sub[0], r, blob))
+        cols = list(zip(*out)) or [()] * 7
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary())
+        return pa.table([pa.array(c, x) for c, x in zip(cols, types)], names=["key", "h1", "h2", "runs", "sub", "range", "list"])
+
+    return texts.groupBy("shard").applyInArrow(run, MARKS)
+
+
+def merged_marks(marks: DataFrame) -> DataFrame:
     """Starts of cut cores' pieces whose string is in another shard's list, found by binary search."""
     def run(t: pa.Table) -> pa.Table:
-        sub, h = t.column("sub").to_numpy(), t.column("h").to_numpy()
-        hit = np.zeros(len(h), bool)
-        for s in np.unique(sub):
-            own, other = sub == s, np.sort(h[sub != s])
+        lists = [np.frombuffer(b, np.int64).reshape(4, -1) for b in t.column("list").to_pylist()]
+        found = {}
+        for i, (h, h1, h2, place) in enumerate(lists):
+            other = np.sort(np.concatenate([x[0] for j, x in enumerate(lists) if j != i] or [h[:0]]))
             if len(other):
-                at = np.minimum(np.searchsorted(other, h[own]), len(other) - 1)
-                hit[own] = other[at] == h[own]
-        return t.filter(pa.array(hit)).select(["key", "h1", "h2", "place"])
+                for k in np.flatnonzero(other[np.minimum(np.searchsorted(other, h), len(other) - 1)] == h):
+                    found.setdefault((int(h1[k]), int(h2[k])), []).append(int(place[k]))
+        key = t.column("key")[0].as_py()
+        return pa.table([pa.array([key] * len(found), pa.int64()), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()),
+                         pa.array([[p for q in v for p in (q, q)] for v in found.values()], pa.list_(pa.int32()))], names=["key", "h1", "h2", "runs"])
 
-    rows = cut.where("size(hashes) > 0").select("key", "h1", "h2", "sub", F.posexplode("hashes").alias("place", "h"))
-    rows = rows.withColumn("range", F.pmod(F.xxhash64("key", "h"), F.lit(RANGES)))
-    found = rows.groupBy("key", "range").applyInArrow(run, "key long, h1 long, h2 long, place int")
-    return found.groupBy("key", "h1", "h2").agg(F.flatten(F.sort_array(F.collect_list(F.array("place", "place")))).alias("runs"))
+    return marks.where("range >= 0").groupBy("key", "range").applyInArrow(run, "key long, h1 long, h2 long, runs array<int>")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_pieces: int = SHARD_PIECES) -> DataFrame:
@@ -278,7 +295,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, shard_bytes: int = SHAR
     named = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     named = named.withColumn("rk", F.xxhash64("doc_id", "text"))
     every = written(piece_table(named), "pieces")
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    shared = written(every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "keys")
     found = written(every.join(shared, "key", "left_semi"), "shared")
     distinct = written(found.groupBy("key", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rk", "start", "starts")).alias("at")), "distinct")
     variety = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("v"))
@@ -292,7 +309,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, shard_bytes: int = SHAR
     texts = texts.withColumn("shard", F.when(F.col("cut"), F.xxhash64("key", "sub")).otherwise(F.pmod(F.xxhash64("key"), F.lit(n_shards))))
     marks = written(shard_marks(texts), "marks")
     whole = distinct.join(several, "key", "left_anti").select("key", "h1", "h2", F.expr("array(0, cast(at.starts - 1 as int))").alias("runs"))
-    marked = whole.unionByName(marks.where("size(runs) > 0").select("key", "h1", "h2", "runs")).unionByName(merged_marks(marks))
+    marked = whole.unionByName(marks.where("range < 0").select("key", "h1", "h2", "runs")).unionByName(merged_marks(marks))
     spans = found.join(marked, ["key", "h1", "h2"]).select("rk", F.transform("runs", lambda x: x + F.col("start")).alias("spans"))
     # a document's spans: at most a few for each of its strings
     per_doc = spans.groupBy("rk").agg(F.flatten(F.collect_list("spans")).alias("spans"))
