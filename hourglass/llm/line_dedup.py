@@ -36,11 +36,10 @@ def line_hash(line: Column) -> Column:
 
 
 def chunked(docs: DataFrame, window: int, average: int) -> DataFrame:
-    """doc_id, text, dkey (names the document), lines and chunks (place, first line, lines) of each text."""
+    """doc_id, dkey (names the document), lines (null for a null text) and chunks (place, first line, lines)."""
     dkey = F.md5(F.concat_ws("|", F.coalesce(docs["doc_id"].cast("string"), F.lit("-")), F.coalesce(docs["text"], F.lit(""))).cast("binary"))
-    lines = F.coalesce(F.split(docs["text"], "\n", -1), F.array().cast("array<string>"))
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), dkey.alias("dkey"), lines.alias("lines"))
-    rows = rows.withColumn("hashes", F.transform("lines", line_hash))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), dkey.alias("dkey"), F.split(docs["text"], "\n", -1).alias("lines"))
+    rows = rows.withColumn("hashes", F.coalesce(F.transform("lines", line_hash), F.array().cast("array<long>")))
 
     def rolling(i: Column) -> Column:
         parts = [F.coalesce(F.get("hashes", i - j), F.lit(0)) * pow(BASE, j, PRIME) % PRIME for j in range(window)]
@@ -85,5 +84,5 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, window: int = WINDOW, aver
     stay = F.filter("chunks", lambda c: ~F.array_contains("gone", c["place"]))
     lost = F.filter("chunks", lambda c: F.array_contains("gone", c["place"]))
     kept = F.array_join(F.flatten(F.transform(stay, lambda c: F.slice("lines", c["first"] + 1, c["n"]))), "\n")
-    return gone.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("chunks").cast("long").alias("n_chunks"), F.size(lost).cast("long").alias("n_removed_chunks"),
-                       F.aggregate(lost, F.lit(0).cast("long"), lambda s, c: s + c["n"]).alias("n_removed_lines"), F.when(F.col("text").isNotNull(), kept).alias("kept"))
+    return gone.select("doc_id", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"), F.size("chunks").cast("long").alias("n_chunks"), F.size(lost).cast("long").alias("n_removed_chunks"),
+                       F.aggregate(lost, F.lit(0).cast("long"), lambda s, c: s + c["n"]).alias("n_removed_lines"), F.when(F.col("lines").isNotNull(), kept).alias("kept"))
