@@ -30,7 +30,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Texts beyond this many characters are cut where a piece starts in any case.
 LONG_TEXT = 1 << 20
 #: Entries of the per-process memo of pieces, and of the pair table; both start anew when full.
-MEMO = 1_000_000
+MEMO = 300_000
+#: Bytes of ids that a task gathers for one output batch.
+OUT_BYTES = 4 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -220,19 +222,20 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     def run(batches):
         codec = codec_of(raw.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                n, sha, back, ids = [], [], [], []
-                for text in part.column(len(fields)).to_pylist():
-                    b = codec.encode(text)
-                    n.append(len(b) // 4)
-                    sha.append(hashlib.sha256(b).hexdigest())
-                    back.append(hashlib.sha256(codec.decode(b).encode()).hexdigest())
-                    ids.append(b)
-                cols = [part.column(i) for i in range(len(fields))] + [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
-                if with_ids:
-                    flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
-                    cols.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), flat))
-                yield pa.RecordBatch.from_arrays(cols, names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+            rows: list[tuple] = []
+            first = size = 0
+            texts = batch.column(len(fields))
+            for i in range(batch.num_rows):
+                b = codec.encode(texts[i].as_py())
+                rows.append((len(b) // 4, hashlib.sha256(b).hexdigest(), hashlib.sha256(codec.decode(b).encode()).hexdigest(), b if with_ids else b""))
+                size += len(b)
+                if size >= OUT_BYTES or i == batch.num_rows - 1:
+                    n, sha, back, ids = zip(*rows)
+                    cols = [batch.column(c).slice(first, len(rows)) for c in range(len(fields))] + [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
+                    if with_ids:
+                        flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+                        cols.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), flat))
+                    yield pa.RecordBatch.from_arrays(cols, names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+                    rows, first, size = [], i + 1, 0
 
     return src.mapInArrow(run, schema)

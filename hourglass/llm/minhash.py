@@ -64,7 +64,7 @@ class Shingler:
         words = text.encode().lower().split() if text else []  # bytes: A-Z only, and exactly the six spaces
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 2_000_000:
+        if len(self.known) > 200_000:
             self.known.clear()
         known = self.known
         h = [known.get(w) for w in words]
