@@ -41,8 +41,8 @@ def utc_to_market_local(ts, tz: str = MARKET_TZ) -> Column:
 
 
 def strip_tz_keep_wall(s) -> Column:
-    """``'2025-12-05 00:00:00-06:00'`` -> wall clock, offset dropped."""
-    return F.to_timestamp_ntz(F.substring(_c(s), 1, 19))
+    """``'2025-12-05 00:00:00.250-06:00'`` -> wall clock; the offset alone is dropped."""
+    return F.to_timestamp_ntz(F.regexp_replace(_c(s), r"(:\d{2}(?:\.\d+)?)\s*(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1"))
 
 
 def trunc_ntz(ts, unit: str) -> Column:

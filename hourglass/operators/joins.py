@@ -15,15 +15,6 @@ from pyspark.sql import functions as F
 from .series import MAX_BLOCKS, UNB_PREC, _cols, _null_safe_join, _series_window, order_blocks
 from ..session import shuffle_partitions
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count; otherwise leave the
-    choice to AQE (which re-plans from runtime sizes)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def time_spine(df: DataFrame, ts_col: str = "ts", series_cols=None, step: str = "1 hour",
                start: str | None = None, end: str | None = None) -> DataFrame:
@@ -100,11 +91,10 @@ def asof_backward(left: DataFrame, right: DataFrame, ts_col: str, by_cols: Seque
     return out.select(*sel)
 
 
-def flag_membership(df: DataFrame, labels: DataFrame, on: Sequence[str], flag: str,
-                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``flag = 1`` when the row's key is in ``labels`` (exact match)."""
+def flag_membership(df: DataFrame, labels: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
+    """``flag = 1`` when the row's key is in ``labels`` (exact match).
+    Whether the labels are broadcast is left to AQE, which knows their bytes."""
     keys = labels.select(*on).distinct().withColumn(flag, F.lit(1))
-    keys = broadcast_if_small(keys, max_broadcast_rows)
     return df.join(keys, list(on), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 

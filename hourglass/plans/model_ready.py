@@ -29,7 +29,9 @@ def model_ready(df: DataFrame, ts: str = "ts", series_cols: Sequence[str] = (),
     series = list(series_cols)
     # quality: one row per (series, ts), capped outliers, filled prices/loads,
     # rows without PRC or wind dropped, spread recomputed
-    d = DD.keep_first(df, [*series, ts], [ts])
+    # duplicates are told apart by all other columns, so reruns keep the same row
+    rest = [c for c, kind in df.dtypes if c not in (*series, ts) and not kind.startswith("map")]
+    d = DD.keep_first(df, [*series, ts], rest or [ts])
     d = d.withColumn(wind, N.cap_to_null(wind, wind_cap))
     d = S.with_position(d, [ts], series, "_p0")
     d = S.fill_forward_backward(d, [price, dam, hub_load, load], series, "_p0").drop("_p0")

@@ -148,10 +148,10 @@ def utc_to_market_local(spark, sf):
     return I.events(spark, sf).select("event_id", T.utc_to_market_local("ts").alias("ts_local"))
 
 
-@q("strip_tz_keep_wall", "SELECT event_id, date_trunc('second', ts) AS wall FROM events")
+@q("strip_tz_keep_wall", "SELECT event_id, CAST(ts AS TIMESTAMP) AS wall FROM events")
 def strip_tz_keep_wall(spark, sf):
     ev = I.events(spark, sf)
-    s = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("-06:00"))
+    s = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("-06:00"))
     return ev.select("event_id", T.strip_tz_keep_wall(s).alias("wall"))
 
 

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..streaming import streams as K
 from .queries import _LI_ORDER, _li_sql, _r, q
 
-LATENESS = "45 days"   # deliveries may arrive this late (bounds the state)
-
 
 def _landed(spark, sf, name, split, n_files=8, dup=False):
     df = spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
@@ -45,8 +43,7 @@ SELECT date_trunc('hour', ts) AS ts, event_type, round(avg(value), 9) AS mean_va
 def stream_resample(spark, sf):
     src, schema = _landed(spark, sf, "events", F.dayofmonth("ts"))
     out = K.scratch_dir(spark, "resample")
-    r = K.resample_stream(spark, src, schema, "ts", "value", ["event_type"], out, out + "-ckpt",
-                          watermark=LATENESS)
+    r = K.resample_stream(spark, src, schema, "ts", "value", ["event_type"], out, out + "-ckpt")
     return r.select("ts", "event_type", _r("mean_value", 9), "min_value", "n")
 
 
@@ -54,4 +51,4 @@ def stream_resample(spark, sf):
 def stream_dedup(spark, sf):
     src, schema = _landed(spark, sf, "events", F.dayofmonth("ts"), dup=True)
     out = K.scratch_dir(spark, "dedup")
-    return K.dedup_stream(spark, src, schema, "ts", ["event_id"], out, out + "-ckpt", delay=LATENESS)
+    return K.dedup_stream(spark, src, schema, "ts", ["event_id"], out, out + "-ckpt")

@@ -4,10 +4,10 @@
                            time and source file (bronze).
 * K2 :func:`scd1_stream`   per key keep the highest sequence; late revisions
                            win; sink is an idempotent per-batch upsert log.
-* K3 :func:`resample_stream` hourly tumbling-window mean / min / count with a
-                           watermark, update mode into the upsert log.
-* K4 :func:`dedup_stream`  duplicate-delivery suppression with
-                           ``dropDuplicatesWithinWatermark``.
+* K3 :func:`resample_stream` hourly tumbling-window mean / min / count in update
+                           mode into the upsert log; lossless unless the user
+                           sets a retention.
+* K4 :func:`dedup_stream`  duplicate-delivery suppression, likewise.
 
 Streams run with ``trigger(availableNow=True)`` so a backlog is processed in
 bounded micro-batches and the query stops.  All state, checkpoints and sinks
@@ -49,11 +49,19 @@ def file_stream(spark: SparkSession, path: str, schema: StructType,
     return r.parquet(path)
 
 
-def _run(writer, name: str) -> None:
+def _run(writer, name: str):
     q = writer.trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:6]}").start()
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to the caller
         raise RuntimeError(str(q.exception()))
+    return q
+
+
+def _note_late(spark: SparkSession, q, out: str) -> None:
+    """Append what a retention has dropped to the side table ``<out>-late``, a row per micro-batch."""
+    rows = [(p["batchId"], int(s.get("numRowsDroppedByWatermark", 0)))
+            for p in q.recentProgress for s in p["stateOperators"]]
+    spark.createDataFrame(rows, "batch_id long, rows_dropped long").write.mode("append").parquet(f"{out}-late")
 
 
 # ---------------------------------------------------------------------------
@@ -116,21 +124,28 @@ def scd1_stream(spark: SparkSession, src: str, schema: StructType, key_cols: Seq
 # ---------------------------------------------------------------------------
 
 def resample_stream(spark: SparkSession, src: str, schema: StructType, ts_col: str, value_col: str,
-                    series_cols: Sequence[str], out: str, ckpt: str, watermark: str = "2 hours",
+                    series_cols: Sequence[str], out: str, ckpt: str, retention: str | None = None,
                     max_files_per_trigger: int | None = 1) -> DataFrame:
     """K3: hourly mean / min / count per series with a tumbling window.
 
-    Event time must be ``timestamp`` for a watermark, so the NTZ clock is cast
-    (session zone UTC) and cast back on output."""
+    Without ``retention`` no row is late: state is one row per hour and series
+    and grows with the time span alone, whatever the order of the files.  With
+    one, hours older than the newest event time less ``retention`` leave the
+    state; rows that come after that are dropped and counted in the side table
+    ``<out>-late``.  Event time must be ``timestamp`` for a window, so the NTZ
+    clock is cast (session zone UTC) and cast back on output."""
     s = file_stream(spark, src, schema, max_files_per_trigger)
-    s = s.withColumn("_et", F.col(ts_col).cast("timestamp")).withWatermark("_et", watermark)
+    s = s.withColumn("_et", F.col(ts_col).cast("timestamp"))
+    s = s.withWatermark("_et", retention) if retention else s
     agg = s.groupBy(F.window("_et", "1 hour").alias("w"), *series_cols).agg(
         F.avg(value_col).alias("mean_value"), F.min(value_col).alias("min_value"),
         F.count(F.lit(1)).alias("n"))
     res = agg.select(F.col("w.start").cast("timestamp_ntz").alias("ts"), *series_cols,
                      "mean_value", "min_value", "n")
-    _run(res.writeStream.outputMode("update").option("checkpointLocation", ckpt)
-         .foreachBatch(upsert_log_writer(out)), "resample")
+    query = _run(res.writeStream.outputMode("update").option("checkpointLocation", ckpt)
+                 .foreachBatch(upsert_log_writer(out)), "resample")
+    if retention:
+        _note_late(spark, query, out)
     return read_upsert_log(spark, out, ["ts", *series_cols])
 
 
@@ -139,13 +154,22 @@ def resample_stream(spark: SparkSession, src: str, schema: StructType, ts_col: s
 # ---------------------------------------------------------------------------
 
 def dedup_stream(spark: SparkSession, src: str, schema: StructType, ts_col: str, key_cols: Sequence[str],
-                 out: str, ckpt: str, delay: str = "2 hours",
+                 out: str, ckpt: str, retention: str | None = None,
                  max_files_per_trigger: int | None = 1) -> DataFrame:
-    """K4: drop re-delivered rows; state for a key lives until the watermark
-    passes its event time plus ``delay``."""
+    """K4: drop re-delivered rows.
+
+    Without ``retention`` every key is remembered (state is one key each), so
+    no first delivery is lost in whatever order files come.  With one, a key
+    is forgotten once event time has moved on by ``retention``; rows that come
+    later than that are dropped and counted in the side table ``<out>-late``."""
     s = file_stream(spark, src, schema, max_files_per_trigger)
-    s = s.withColumn("_et", F.col(ts_col).cast("timestamp")).withWatermark("_et", delay)
-    d = s.dropDuplicatesWithinWatermark(list(key_cols)).drop("_et")
-    _run(d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+    if retention:
+        s = s.withColumn("_et", F.col(ts_col).cast("timestamp")).withWatermark("_et", retention)
+        d = s.dropDuplicatesWithinWatermark(list(key_cols)).drop("_et")
+    else:
+        d = s.dropDuplicates(list(key_cols))
+    query = _run(d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append"), "dedup")
+    if retention:
+        _note_late(spark, query, out)
     return spark.read.schema(d.schema).parquet(out)

@@ -34,6 +34,8 @@ def test_dst_fall_back_maps_two_utc_hours_to_one_wall_hour(spark):
 def test_strip_offset_keeps_wall_clock(spark):
     df = spark.createDataFrame([("2025-12-05 00:00:00-06:00",)], "s string")
     assert df.select(T.strip_tz_keep_wall("s")).first()[0] == dt.datetime(2025, 12, 5, 0, 0)
+    for text, wall in (("2025-12-05 07:08:09.250125-06:00", dt.datetime(2025, 12, 5, 7, 8, 9, 250125)), ("2025-12-05T07:08:09.5Z", dt.datetime(2025, 12, 5, 7, 8, 9, 500000)), ("2025-12-05", dt.datetime(2025, 12, 5))):
+        assert df.select(T.strip_tz_keep_wall(F.lit(text))).first()[0] == wall
 
 
 def test_calendar_weekday_monday_zero(spark):
