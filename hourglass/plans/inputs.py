@@ -12,7 +12,7 @@ Every frame is lazy and grows with its source table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import time as T
@@ -29,8 +29,8 @@ DAM_TRAILING_EVENTS = 3       # interval DAM = mean of the previous 3 events
 # ---------------------------------------------------------------------------
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+def events(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    return table(spark, sf_dir, "events", where)
 
 
 def hourly_feeds(ev: DataFrame) -> DataFrame:

@@ -703,8 +703,8 @@ def top_k_importance(spark, sf):
 @q("filtered_sample", IV("""
 SELECT event_id, ts, rt FROM iv0 WHERE rt > 300 ORDER BY rt DESC, event_id LIMIT 10"""))
 def filtered_sample(spark, sf):
-    ev = I.events(spark, sf)
-    return ev.where(F.col("value") > 300).orderBy(F.col("value").desc(), "event_id").limit(10) \
+    ev = I.events(spark, sf, F.col("value") > 300)
+    return ev.orderBy(F.col("value").desc(), "event_id").limit(10) \
              .select("event_id", "ts", F.col("value").alias("rt"))
 
 

@@ -17,7 +17,7 @@ from ..operators import series as S
 from ..sources import sinks
 from ..streaming.streams import scratch_dir
 from . import inputs as I
-from .queries import IV, daily_features, q
+from .queries import H, IV, daily_features, q
 
 TRAIN_END = "2024-01-22"
 VALID_START = "2024-01-15"
@@ -104,7 +104,7 @@ def price_regressor(spark, sf):
     mt = model_table(spark, sf)
     feats = M.feature_set("price_1h")
     train = mt.where(_before("ts", TRAIN_END))
-    off = M.target_offset(train, "rt")
+    off = M.target_offset(train.where(_before("ts", VALID_START)), "rt")   # validation rows set nothing
     tr = train.withColumn("y", F.log1p(F.col("rt") + F.lit(off))) \
               .withColumn("is_val", ~_before("ts", VALID_START))
     model = M.fit_gbt_regressor(tr, feats, "y", validation_col="is_val", max_iter=40)
@@ -231,7 +231,12 @@ def score_batch(spark, sf):
                                              F.count("predicted_prc").alias("n_scored"))
 
 
-@q("model_persistence")
+@q("model_persistence", IV("""
+SELECT count(*) AS n, 0.0::DOUBLE AS max_abs_diff, 6 AS n_features FROM f
+WHERE ts >= TIMESTAMP '2024-01-22' AND pred_prc IS NOT NULL AND prc_lag2 IS NOT NULL AND full6 = 6
+  AND pred_price IS NOT NULL AND dam IS NOT NULL""", """f AS (
+  SELECT *, lag(prc, 2) OVER w AS prc_lag2, count(prc) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS full6
+  FROM iv WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""))
 def model_persistence(spark, sf):
     from pyspark.ml import PipelineModel
     mt = model_table(spark, sf)
@@ -286,9 +291,52 @@ def load_model_metadata(spark, sf):
                       F.avg("predicted_prc").alias("mean_prediction"))
 
 
-@q("model_ready")
+def _model_ready_sql() -> str:
+    """The feature table in naive SQL: global windows over the hourly table."""
+    fills = ", ".join(f"""coalesce({c}, last_value({c} IGNORE NULLS) OVER (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value({c} IGNORE NULLS) OVER (ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}"""
+                      for c in ("rt", "dam", "hub_load", "load_total"))
+    feats = [(f"lag({c}, {k}) OVER o", f"{c}_{k}h_lag") for c in ("rt", "dam", "prc") for k in (1, 24, 168)]
+    feats += [(f"lag({c}, {k}) OVER o", f"{c}_{k}h_lag")
+              for c, k in (("hub_load", 24), ("load_total", 24), ("wind", 24), ("wind", 168), ("spread", 1))]
+    rolls = [("prc", 6, "mean"), ("prc", 6, "std"), ("prc", 24, "mean")]
+    rolls += [(c, n, fn) for c in ("rt", "dam", "hub_load", "load_total", "wind") for n in (6, 24) for fn in ("mean", "std")]
+    for c, n, fn in rolls:
+        frame = f"OVER (ORDER BY pos ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        f = {"mean": "avg", "std": "stddev_samp"}[fn]
+        feats.append((f"CASE WHEN count({c}) {frame} = {n} THEN {f}({c}) {frame} END", f"{c}_roll_{fn}_{n}h"))
+    feats += [(f"{c} - lag({c}) OVER o", f"{c}_ramp") for c in ("load_total", "hub_load", "wind", "rt")]
+    feats += [("load_total - wind", "net_load"), ("wind / nullif(load_total, 0)", "renewable_pct"),
+              ("wind / nullif(hub_load, 0)", "wind_load_ratio"), ("load_total / nullif(monthly_load_max, 0)", "load_vs_monthly_max"),
+              ("load_total - monthly_load_max", "load_above_monthly_max"),
+              ("sin(2 * pi() * hour / 24.0)", "hour_sin"), ("cos(2 * pi() * hour / 24.0)", "hour_cos")]
+    feats += [(c, c) for c in ("rt", "dam", "prc", "load_total", "hub_load", "wind", "zone_view", "zone_click", "zone_signup",
+                               "zone_error", "spread", "monthly_load_max")]
+    cols = ", ".join(f"round({e}, 6) AS {name}" for e, name in feats)
+    body = f"""
+SELECT * FROM (SELECT ts, n_events, hour, day_of_week, month, is_weekend, year, is_pre_rtcb, days_since_start, pos, {cols},
+  CASE WHEN lag(rt) OVER o > 100 THEN 1 ELSE 0 END AS price_spike_lag,
+  CAST(month IN (6, 7, 8, 9) AS INTEGER) AS is_4cp_season,
+  CAST(month IN (6, 7, 8, 9) AND hour BETWEEN 14 AND 19 AS INTEGER) AS is_4cp_window,
+  CASE WHEN prc > 0 AND prc <= 3000 THEN 'Scarcity' WHEN prc > 3000 AND prc <= 5000 THEN 'Tight'
+       WHEN prc > 5000 AND prc <= 10000 THEN 'Normal' WHEN prc > 10000 THEN 'Surplus' END AS regime
+  FROM p WINDOW o AS (ORDER BY pos)) WHERE pos >= 168"""
+    return H(body, f"filled AS (SELECT * REPLACE ({fills}, CASE WHEN wind <= 25000 THEN wind END AS wind) FROM hourly)",
+             """kept AS (
+  SELECT *, rt - dam AS spread, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+         CAST(month(ts) AS INTEGER) AS month, CAST(isodow(ts) >= 6 AS INTEGER) AS is_weekend, CAST(year(ts) AS INTEGER) AS year,
+         CAST(ts < TIMESTAMP '2025-12-05' AS INTEGER) AS is_pre_rtcb,
+         CAST(date_diff('day', DATE '2021-01-01', CAST(ts AS DATE)) AS INTEGER) AS days_since_start,
+         row_number() OVER (ORDER BY ts) - 1 AS pos
+  FROM filled WHERE prc IS NOT NULL AND wind IS NOT NULL)""",
+             "peak AS (SELECT *, max(load_total) OVER (PARTITION BY year, month ORDER BY pos) AS cm FROM kept)",
+             "p AS (SELECT * EXCLUDE (cm), lag(cm) OVER (ORDER BY pos) AS monthly_load_max FROM peak)")
+
+
+@q("model_ready", _model_ready_sql())
 def model_ready_table(spark, sf):
     """The full feature table (quality -> calendar -> positional features ->
     ratios -> peak season -> regimes -> warm-up drop) on the hourly feeds."""
     from .model_ready import model_ready
-    return model_ready(I.hourly(spark, sf))
+    d = model_ready(I.hourly(spark, sf))
+    return d.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in d.dtypes])

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
@@ -29,10 +29,17 @@ def normalize_nan(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, NaN-normalised.  Column pruning and filters still
-    reach the parquet scan (the normalising projection is transparent)."""
-    return normalize_nan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, where: Column | None = None) -> DataFrame:
+    """One driver table, NaN-normalised, and its rows that meet ``where``.
+
+    Filters on a normalised floating column cannot reach the parquet scan, so
+    ``where`` is applied to the raw columns, where it is pushed down, and again
+    to the normalised ones: a raw NaN is above every number and passes the
+    first.  ``where`` must not hold for a missing value."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if where is None:
+        return normalize_nan(df)
+    return normalize_nan(df.where(where)).where(where)
 
 
 def scan_parquet_glob(spark: SparkSession, pattern: str, schema: StructType | None = None,

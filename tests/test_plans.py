@@ -2,6 +2,7 @@
 Cartesian / nested-loop joins."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -29,3 +30,16 @@ def test_position_plan_has_no_single_partition_over_rows(spark):
     plan = I.intervals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     # windows over data rows are partitioned by (series, block) / (series, bucket)
     assert "rangepartitioning" not in plan.lower()
+
+
+def test_numeric_predicate_reaches_the_scan(spark, capsys):
+    entry.queries()["filtered_sample"](spark, "/root/testdata/sf0.001").explain("formatted")
+    assert "GreaterThan(value,300.0)" in capsys.readouterr().out
+
+
+def test_pushed_predicate_drops_nan(spark, tmp_path):
+    from hourglass.sources.tables import table
+    rows = [(1, 400.0), (2, float("nan")), (3, None), (4, 10.0)]
+    spark.createDataFrame(rows, "id int, value double").write.parquet(str(tmp_path / "t.parquet"))
+    kept = table(spark, str(tmp_path), "t", F.col("value") > 300).collect()
+    assert [r.id for r in kept] == [1]
