@@ -10,11 +10,12 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import time as T
-from .series import Diff, _cols, halo_windows, running_period_max, with_position
+from ..session import shuffle_partitions
+from .series import Diff, _cols, block_offsets, halo_windows, order_blocks, running_period_max, with_position
 
 
 def resample(df: DataFrame, ts_col: str, value_cols: Sequence[str], how: str = "mean",
@@ -47,15 +48,14 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont``).
 
-    Non-null values get a global position by a distributed sort; only the
-    <= 2 * len(probs) rows at the needed positions are kept.  One count is
-    fetched to the driver to place the positions.
+    Equal values are interchangeable, so they are counted first (a partial
+    aggregation, whatever share one value has).  The counts are summed per
+    value block, and only blocks that hold a needed position are sorted; one
+    aggregation picks the values.  The row count arrives with the block bounds.
     """
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
     spark = df.sparkSession
-    # tied values are interchangeable, so the order among them is irrelevant;
-    # the row count arrives with the block bounds (one pass)
-    pos, n = with_position(vals, ["_v"], None, "_p", with_count=True)
+    blocked, n = order_blocks(vals, "_v", 4 * shuffle_partitions(spark), "_hg_blk", with_count=True)
     if n == 0:
         return spark.createDataFrame([(float(q), None) for q in probs], "q double, value double")
     need = []
@@ -65,12 +65,17 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
         hi = min(lo + 1, n - 1)
         need.append((float(q), lo, hi, h - lo))
     idx = sorted({i for _, lo, hi, _ in need for i in (lo, hi)})
-    picked = pos.where(F.col("_p").isin(idx)).select("_p", "_v")
-    plan = spark.createDataFrame(need, "q double, lo long, hi long, frac double")
-    lo = picked.select(F.col("_p").alias("lo"), F.col("_v").alias("v_lo"))
-    hi = picked.select(F.col("_p").alias("hi"), F.col("_v").alias("v_hi"))
-    out = F.broadcast(plan).join(lo, "lo").join(hi, "hi")
-    return out.select("q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
+    offsets = block_offsets(blocked.groupBy("_hg_blk").agg(F.count(F.lit(1)).alias("_hg_n")), [])
+    hit = F.exists(F.lit(idx), lambda i: (F.col("_hg_off") <= i) & (i < F.col("_hg_off") + F.col("_hg_n")))
+    each = blocked.groupBy("_hg_blk", "_v").agg(F.count(F.lit(1)).alias("_n")).join(offsets.where(hit), "_hg_blk")
+    w = Window.partitionBy("_hg_blk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("_end", F.col("_hg_off") + F.sum("_n").over(w))
+    at = {i: f"v{i}" for i in idx}
+    picked = each.agg(*[F.max(F.when((F.col("_end") - F.col("_n") <= i) & (F.col("_end") > i), F.col("_v"))).alias(c)
+                        for i, c in at.items()])
+    return picked.select(F.inline(F.array(*[
+        F.struct(F.lit(q).alias("q"), (F.col(at[lo]) + (F.col(at[hi]) - F.col(at[lo])) * F.lit(frac)).alias("value"))
+        for q, lo, hi, frac in need])))
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import MAX_BLOCKS, UNB_PREC, _cols, _null_safe_join, _series_window, order_blocks
+from .series import UNB_PREC, _cols, _series_window, order_blocks, series_keys
 from ..session import shuffle_partitions
 
 
@@ -56,7 +56,7 @@ def asof_backward(left: DataFrame, right: DataFrame, ts_col: str, by_cols: Seque
     lands in one task and no nested-loop join is planned.
     """
     by = list(by_cols)
-    n = min(num_blocks or 4 * shuffle_partitions(left.sparkSession), MAX_BLOCKS)
+    n = num_blocks or 4 * shuffle_partitions(left.sparkSession)
     match_fields = [F.col(c).alias(c) for c in right_cols]
     if matched_ts_col:
         match_fields.append(F.col(ts_col).alias(matched_ts_col))
@@ -68,19 +68,18 @@ def asof_backward(left: DataFrame, right: DataFrame, ts_col: str, by_cols: Seque
                     F.struct(*[F.col(c) for c in lcols]).alias("_hg_l"))
     u = l.unionByName(r, allowMissingColumns=True)
     u = order_blocks(u, ts_col, n, "_hg_blk")
+    u, skey = series_keys(u, by)
+    keys = [*skey, "_hg_blk"]
     okey = F.struct(F.col(ts_col), F.col("_hg_side"), F.col("_hg_id"))
-    last_in_block = (u.where(F.col("_hg_m").isNotNull())
-                      .groupBy(*by, "_hg_blk")
-                      .agg(F.max(F.struct(okey.alias("k"), F.col("_hg_m").alias("m"))).alias("_hg_last")))
     # carry for a block = last match among right rows of strictly earlier
     # blocks of the same key; the table has one row per (key, block)
-    blocks = u.select(*by, "_hg_blk").distinct()
-    blocks = _null_safe_join(blocks, last_in_block, by + ["_hg_blk"], "left")
-    wc = _series_window(by).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
-    ub = blocks.select(*by, "_hg_blk",
-                       F.last("_hg_last", True).over(wc).getField("m").alias("_hg_prev"))
-    j = _null_safe_join(u, ub, by + ["_hg_blk"], "left")
-    wl = Window.partitionBy(*by, "_hg_blk").orderBy(ts_col, "_hg_side", "_hg_id") \
+    last = F.when(F.col("_hg_m").isNotNull(), F.struct(okey.alias("k"), F.col("_hg_m").alias("m")))
+    blocks = u.groupBy(*keys).agg(F.max(last).alias("_hg_last"))
+    wc = _series_window(skey).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
+    ub = blocks.select(*keys, F.last("_hg_last", True).over(wc).getField("m").alias("_hg_prev"))
+    # the join and the window have the same keys: one exchange of the rows
+    j = u.join(ub, keys)
+    wl = Window.partitionBy(*keys).orderBy(ts_col, "_hg_side", "_hg_id") \
         .rowsBetween(UNB_PREC, 0)
     m = F.coalesce(F.last("_hg_m", True).over(wl), F.col("_hg_prev"))
     out = j.withColumn("_hg_match", m).where(F.col("_hg_side") == 1)

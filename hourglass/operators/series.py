@@ -8,12 +8,12 @@ Three building blocks carry the scale:
 
 * :func:`with_position` - dense 0-based position per series without a
   per-series window.  Rows are cut into blocks of the global order range
-  (quantile bounds fetched once, applied by binary search), numbered inside
-  ``(series, block)``, and a small table of ``(series, block) -> row count``
-  is prefix-summed to give every block its starting offset (the counts are
-  a map-side partial aggregation).  Block assignment is a pure function of
-  the row, so retries are deterministic (physical partition ids are never
-  used).
+  (fixed time spans, or even cuts between a bounded number of quantiles),
+  numbered inside ``(series, block)``, and a narrow table of
+  ``(series, block) -> row count`` is prefix-summed to give every block its
+  starting offset (the counts are a map-side partial aggregation).  Block
+  assignment is a pure function of the row, so retries are deterministic
+  (physical partition ids are never used).
 * :func:`halo_windows` - ``bucket = pos div B``; the last ``H`` rows of a
   bucket are copied into the next bucket, windows run per
   ``(series, bucket)`` and the copies are dropped.  Each task sees at most
@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 
 DEFAULT_BUCKET = 100_000
-# cap on position blocks: the bounds sketch and the Bucketizer splits stay
-# small (<= 64k doubles); at 10^12 rows a (series, block) group is <= ~15M
-# rows, a bounded, spillable sort
-MAX_BLOCKS = 65_536
+# span of a position block of a temporal column
+BLOCK_SECONDS = 60.0
+# quantiles fetched to cut a numeric column; finer blocks are even cuts
+# between them
+SKETCH_BOUNDS = 1_000
 UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
@@ -75,7 +76,7 @@ def _series_window(series_cols: Sequence[str]):
 # ---------------------------------------------------------------------------
 
 def _order_key_double(df: DataFrame, name: str) -> Column:
-    """The first order column as a double that sorts the same way."""
+    """The first order column as a double that sorts the same way (seconds if temporal)."""
     dt = df.schema[name].dataType.typeName()
     c = F.col(name)
     if dt == "timestamp_ntz":
@@ -84,82 +85,111 @@ def _order_key_double(df: DataFrame, name: str) -> Column:
         return (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600.0
                 + F.minute(c) * 60.0 + F.date_part(F.lit("SECOND"), c).cast("double"))
     elif dt == "timestamp":
-        c = F.unix_micros(c)
+        return F.unix_micros(c).cast("double") / 1e6
     elif dt == "date":
-        c = F.unix_date(c)
+        return F.unix_date(c).cast("double") * 86400.0
     elif dt not in ("double", "float", "integer", "long", "short", "byte", "decimal"):
         raise TypeError(f"first order column {name} must be numeric or temporal, not {dt}")
     return c.cast("double")
 
 
 def order_blocks(df: DataFrame, order_col: str, num_blocks: int, block_col: str = "_hg_blk",
-                 relative_error: float | None = None, with_count: bool = False):
-    """Assign every row a block of the global ``order_col`` range.
-
-    Bounds are approximate quantiles fetched once to the driver (``num_blocks - 1``
-    numbers, with the row count in the same single aggregation) and applied
-    with ``Bucketizer`` (binary search, JVM side), so the assignment is a pure
-    function of the row: task retries and re-evaluation always give the same
-    block.  Equal keys always share a block.  Returns the frame, or
-    ``(frame, row_count)`` with ``with_count``.
+                 with_count: bool = False, block_seconds: float = BLOCK_SECONDS):
+    """Assign every row a block (long) of the global ``order_col`` range.
+
+    A temporal column is cut into spans of ``block_seconds``: a function of the
+    row alone, without a job.  For a numeric column, at most ``SKETCH_BOUNDS``
+    approximate quantiles are fetched (a sketch of fixed size, whatever the
+    input), and each range between two of them is cut evenly until there are
+    about ``num_blocks`` blocks.  Either way retries and re-evaluation give the
+    same block, later keys never get an earlier one, and equal keys share one.
+    Returns the frame, or ``(frame, row_count)`` with ``with_count``.
     """
-    d = df.withColumn("_hg_okey", F.coalesce(_order_key_double(df, order_col),
-                                             F.lit(float("-inf"))))
-    bounds: list[float] = []
-    n_rows = None
-    if num_blocks > 1 or with_count:
-        probs = [i / num_blocks for i in range(1, num_blocks)] or [0.5]
-        err = relative_error if relative_error is not None else 1.0 / (4 * num_blocks)
-        acc = max(100, int(1.0 / err))
-        row = d.agg(F.count(F.lit(1)).alias("n"),
-                    F.percentile_approx("_hg_okey", probs, acc).alias("q")).first()
-        n_rows = int(row["n"])
-        qs = (row["q"] or []) if num_blocks > 1 else []
-        bounds = sorted({q for q in qs if q == q and q not in (float("inf"), float("-inf"))})
+    key = _order_key_double(df, order_col)
+    if df.schema[order_col].dataType.typeName() in ("timestamp_ntz", "timestamp", "date"):
+        out = df.withColumn(block_col, F.coalesce(F.floor(key / F.lit(float(block_seconds))), F.lit(-(1 << 60))))
+        return (out, df.count()) if with_count else out
+    d = df.withColumn("_hg_okey", F.coalesce(key, F.lit(float("-inf"))))
+    k = max(2, min(num_blocks, SKETCH_BOUNDS))
+    row = d.agg(F.count(F.lit(1)).alias("n"), F.min("_hg_okey").alias("lo"), F.max("_hg_okey").alias("hi"),
+                F.percentile_approx("_hg_okey", [i / k for i in range(1, k)], 4 * k).alias("q")).first()
+    bounds = sorted({q for q in [row["lo"], *(row["q"] or []), row["hi"]]
+                     if q is not None and q == q and q not in (float("inf"), float("-inf"))})
     if not bounds:
-        out = d.withColumn(block_col, F.lit(0.0)).drop("_hg_okey")
+        out = d.withColumn(block_col, F.lit(0).cast("long")).drop("_hg_okey")
     else:
         from pyspark.ml.feature import Bucketizer
-        splits = [float("-inf")] + bounds + [float("inf")]
-        out = Bucketizer(splits=splits, inputCol="_hg_okey", outputCol=block_col,
-                         handleInvalid="keep").transform(d).drop("_hg_okey")
-    return (out, n_rows) if with_count else out
+        cuts = -(-num_blocks // len(bounds))
+        ranged = Bucketizer(splits=[float("-inf")] + bounds + [float("inf")], inputCol="_hg_okey",
+                            outputCol="_hg_range", handleInvalid="keep").transform(d)
+        # range r holds [bounds[r - 1], bounds[r]); the open ranges at both ends aren't cut
+        r = F.col("_hg_range").cast("int")
+        lo, hi = F.get(F.lit(bounds), r - 1), F.get(F.lit(bounds), r)
+        part = (F.col("_hg_okey") - lo) / (hi - lo)
+        sub = F.when((part >= 0) & (part < 1), F.floor(part * F.lit(float(cuts)))).otherwise(0)
+        out = ranged.withColumn(block_col, r.cast("long") * cuts + sub.cast("long")).drop("_hg_okey", "_hg_range")
+    return (out, int(row["n"])) if with_count else out
+
+
+def series_keys(df: DataFrame, series: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The frame with the series columns as one struct, and the name of that key.
+
+    A struct is never null and its null fields are equal, so a plain equality
+    is null-safe, and a window and a join on it share one exchange."""
+    return (df.withColumn("_hg_s", F.struct(*series)), ["_hg_s"]) if series else (df, [])
+
+
+def block_offsets(counts: DataFrame, series: Sequence[str], n_col: str = "_hg_n") -> DataFrame:
+    """``_hg_off``: rows of the series in earlier blocks, for each row of ``counts``.
+
+    Without a series the sum has two levels, over spans of blocks and inside
+    each span, so that the window without a key sees one row per span."""
+    if series:
+        w = Window.partitionBy(*series).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
+        return counts.withColumn("_hg_off", F.coalesce(F.sum(n_col).over(w), F.lit(0)))
+    spanned = counts.withColumn("_hg_span", F.floor(F.col("_hg_blk") / F.lit(1024)))
+    w = Window.orderBy("_hg_span").rowsBetween(UNB_PREC, -1)
+    before = spanned.groupBy("_hg_span").agg(F.sum(n_col).alias("_hg_t")).select(
+        "_hg_span", F.coalesce(F.sum("_hg_t").over(w), F.lit(0)).alias("_hg_before"))
+    w = Window.partitionBy("_hg_span").orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
+    inside = spanned.withColumn("_hg_off", F.coalesce(F.sum(n_col).over(w), F.lit(0)))
+    out = inside.join(before, "_hg_span").withColumn("_hg_off", F.col("_hg_off") + F.col("_hg_before"))
+    return out.drop("_hg_span", "_hg_before")
 
 
 def with_position(df: DataFrame, order_cols: Sequence[str] | str,
                   series_cols: Sequence[str] | str | None = None,
-                  pos_col: str = "pos", num_blocks: int | None = None, with_count: bool = False):
+                  pos_col: str = "pos", num_blocks: int | None = None, with_count: bool = False,
+                  block_seconds: float = BLOCK_SECONDS):
     """Add a dense 0-based position per series in ``order_cols`` order.
 
     Rows are cut into blocks of the first order column's global range
     (:func:`order_blocks`), numbered inside ``(series, block)`` and shifted
     by the prefix-summed row counts of the series' earlier blocks.  A series
-    holding a third of the table is spread over a third of the blocks, so no
-    task numbers more than about ``N / num_blocks`` rows.  The block count
-    scales with ``spark.sql.shuffle.partitions`` (sized for the cluster).
+    holding a third of the table is spread over all its blocks.  The numbering
+    window and the join with the offsets share one exchange of the rows.
+
+    A task numbers the rows of one series in ``block_seconds`` (temporal first
+    column; choose less for feeds with many rows a minute) or about
+    ``N / num_blocks`` rows (numeric; the number scales with
+    ``spark.sql.shuffle.partitions``).
 
     ``order_cols`` must be a total order inside a series (add an id column
-    to break ties).  With ``with_count`` returns ``(frame, total_rows)``; the
-    count comes from the same pass that fetches the block bounds.
+    to break ties).  With ``with_count`` returns ``(frame, total_rows)``.
     """
     series = _cols(series_cols)
     order = _cols(order_cols)
-    n = min(num_blocks or 4 * shuffle_partitions(df.sparkSession), MAX_BLOCKS)
-    blocked, n_rows = order_blocks(df, order[0], n, "_hg_blk", with_count=True)
-    wloc = Window.partitionBy(*series, "_hg_blk").orderBy(*order)
-    d = blocked.withColumn("_hg_loc", F.row_number().over(wloc) - 1)
+    n = num_blocks or 4 * shuffle_partitions(df.sparkSession)
+    blocked = order_blocks(df, order[0], n, "_hg_blk", with_count, block_seconds)
+    blocked, n_rows = blocked if with_count else (blocked, None)
+    blocked, skey = series_keys(blocked, series)
+    keys = [*skey, "_hg_blk"]
+    d = blocked.withColumn("_hg_loc", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
     # block sizes by map-side partial aggregation: the shuffle carries one
     # row per (series, block) per mapper, and column pruning reads only keys
-    counts = blocked.groupBy(*series, "_hg_blk").agg(F.count(F.lit(1)).alias("_hg_n"))
-    w = _series_window(series).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
-    offsets = counts.select(*series, "_hg_blk",
-                            F.coalesce(F.sum("_hg_n").over(w), F.lit(0)).alias("_hg_off"))
-    if not series:
-        # one row per block: bounded by num_blocks
-        offsets = F.broadcast(offsets)
-    out = _null_safe_join(d, offsets, series + ["_hg_blk"])
-    out = (out.withColumn(pos_col, (F.col("_hg_off") + F.col("_hg_loc")).cast("long"))
-              .drop("_hg_blk", "_hg_loc", "_hg_off"))
+    counts = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hg_n"))
+    out = d.join(block_offsets(counts, skey).drop("_hg_n"), keys)
+    out = out.select(*df.columns, (F.col("_hg_off") + F.col("_hg_loc")).cast("long").alias(pos_col))
     return (out, n_rows) if with_count else out
 
 
