@@ -19,8 +19,8 @@ def sized_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     * advisory post-shuffle size equal to the target.
 
     100 TB on 1,000 executors x 8 cores gives ~370k initial shuffle
-    partitions (AQE coalesces them); ``with_position`` uses 4 x partitions
-    blocks, capped at 65,536, which keeps every window task bounded.
+    partitions (AQE coalesces them); ``with_position`` cuts a numeric order column
+    into 4 x partitions blocks and a temporal one into spans of time.
     """
     parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
     return {

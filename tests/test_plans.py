@@ -25,11 +25,33 @@ def test_no_udf_no_cross_join(spark, name):
     assert not [k for k in FORBIDDEN if k in plan], plan[:2000]
 
 
-def test_position_plan_has_no_single_partition_over_rows(spark):
-    from hourglass.plans import inputs as I
-    plan = I.intervals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    # windows over data rows are partitioned by (series, block) / (series, bucket)
-    assert "rangepartitioning" not in plan.lower()
+def _exchanges(spark, name):
+    """(partitioning, columns of its input) of each exchange, planned without broadcasts."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+        found, todo = [], [plan]
+        while todo:
+            p = todo.pop()
+            if p.nodeName() == "AdaptiveSparkPlan":
+                todo.append(p.initialPlan())
+                continue
+            if p.nodeName() == "Exchange":
+                found.append((p.outputPartitioning().toString(), p.output().size()))
+            kids = p.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+        return found
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+@pytest.mark.parametrize("name, full_row_shuffles", [("lag_features_by_series", 2), ("asof_backward", 1)])
+def test_rows_are_shuffled_once_for_positions_and_never_to_one_task(spark, name, full_row_shuffles):
+    found = _exchanges(spark, name)
+    # the tables of counts and carries have at most 4 columns (series, block, span, sum)
+    assert sum(width > 4 for _, width in found) <= full_row_shuffles, found
+    assert not [x for x in found if "SinglePartition" in x[0] or "rangepartitioning" in x[0]], found
 
 
 def test_numeric_predicate_reaches_the_scan(spark, capsys):

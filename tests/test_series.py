@@ -34,6 +34,40 @@ def test_position_global_many_blocks(spark):
     assert list(out.pos) == list(range(5000))
 
 
+def test_numeric_blocks_follow_the_order_beyond_the_sketch(spark, monkeypatch):
+    # few quantiles, many even cuts between them; nulls come first, NaN last
+    monkeypatch.setattr(S, "SKETCH_BOUNDS", 5)
+    rng = random.Random(3)
+    vals = [rng.lognormvariate(0, 4) * rng.choice((-1, 1)) for _ in range(2000)] + [0.0] * 900
+    rows = [(v, i) for i, v in enumerate([*vals, None, float("nan"), float("inf"), float("-inf")])]
+    df = _df(spark, rows, "v double, i long")
+    got = S.order_blocks(df, "v", 64).toPandas().sort_values("i")
+    by = got.loc[[i for _, i in sorted((v, i) for i, v in enumerate(vals))], "_hg_blk"]
+    assert by.is_monotonic_increasing and by.nunique() > 20
+    pos = S.with_position(df, ["v", "i"], None, num_blocks=64).orderBy("pos").toPandas()
+    assert list(pos.pos) == list(range(len(rows)))
+    assert list(pos.i) == [r.i for r in df.orderBy("v", "i").collect()]
+
+
+def test_time_blocks_with_two_level_offsets(spark):
+    import datetime as dt
+    t0 = dt.datetime(1969, 12, 30)      # blocks below and above zero, many spans of 1024
+    rows = [(t0 + dt.timedelta(seconds=(i * 7919) % 4000 * 3600), i) for i in range(3000)] + [(None, -1)]
+    df = _df(spark, rows, "ts timestamp_ntz, i long")
+    pos = S.with_position(df, ["ts", "i"], None).orderBy("pos").toPandas()
+    assert list(pos.pos) == list(range(len(rows)))
+    assert list(pos.i) == [r.i for r in df.orderBy("ts", "i").collect()]
+
+
+def test_quantiles_with_one_frequent_value(spark):
+    from hourglass.operators.aggregate import exact_quantiles
+    vals = [0.0] * 4000 + [float(i) ** 1.5 for i in range(1, 1001)]
+    df = _df(spark, [(v,) for v in vals] + [(None,)], "v double")
+    probs = [0.0, 0.25, 0.79, 0.8, 0.81, 0.999, 1.0]
+    got = {r.q: r.value for r in exact_quantiles(df, "v", probs).collect()}
+    np.testing.assert_allclose([got[q] for q in probs], np.quantile(vals, probs), rtol=1e-9, atol=1e-9)
+
+
 @pytest.mark.parametrize("bucket", [1, 3, 7, 50, 100000])
 def test_halo_equals_global_windows(spark, bucket):
     rng = random.Random(7)
