@@ -1,19 +1,23 @@
 """Quality rules with risk-controlled thresholds.
 
 Every text gets fixed base counts and a few shares (symbols, capitals,
-repeats ...).  For each stratum (language) and rule, a labelled holdout
-decides the cutoff: going from the loosest cutoff to tighter ones, the
-number of good documents that would be rejected is turned into an exact
-(Clopper-Pearson) upper bound of the false-rejection rate.  Testing stops at
-the first cutoff whose bound exceeds the allowed risk (fixed-sequence
-testing, so the cutoffs of one rule need no correction); the confidence is
-divided by the number of rules and strata (Bonferroni).  Among the certified
-cutoffs, the one that rejects the most bad documents is taken, if it
+repeats ...).  For each stratum (language) the rules form one sequence of
+nested rejections: each step tightens the cutoff of one rule, and a document is
+rejected at a step if any rule rejects it there.  The order comes from the
+texts without a label and the bad ones alone (see ``orders``), so it is fixed
+before any good label is looked at.  A labelled holdout decides how far the
+sequence goes: at each step the number of good documents that all rules
+together would reject is turned into an exact (Clopper-Pearson) upper bound of
+the false-rejection rate.  Testing stops at the first step whose bound exceeds
+ALPHA (fixed-sequence testing, so steps and rules need no correction); the
+confidence is divided by the number of strata (Bonferroni).  Among the
+certified steps, the one that rejects the most bad documents is taken, if it
 rejects any, each rejected good one counting as ``GOOD_COST`` bad ones.  A
-stratum with too few labels certifies nothing and rejects nothing.
+stratum with too few good labels (``labels_needed``) certifies nothing and
+rejects nothing.
 
-So with probability 1 - DELTA, in every stratum, each rule rejects at most
-ALPHA / number of rules of the good documents, and all rules at most ALPHA.
+So with probability 1 - DELTA, in every stratum, all rules together reject at
+most ALPHA of the good documents.
 
 Defined results: a null text has no words and fails the base rules; a null
 language is a stratum of its own; labels that are null are not used; a
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import SPACES, ship
+from ._shared import SPACES, ship, written
 
 #: Allowed false rejections of good documents per stratum, over all rules.
 ALPHA = 0.02
@@ -139,38 +143,90 @@ def upper_bound_holds(k: int, n: int, alpha: float, delta: float) -> bool:
     return _log_tail(k, n, alpha) <= math.log(delta)
 
 
-def cutoffs(counts: list[tuple[str | None, int, int, int, int]], alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str | None, int], int]:
-    """Cutoff by (stratum, rule) from counts (stratum, rule, cell, good, bad)."""
-    strata = {c[0] for c in counts}
-    tests = max(1, len(strata) * len(RULES))
+def labels_needed(n_strata: int, alpha: float = ALPHA, delta: float = DELTA) -> int:
+    """Good labels from which a stratum can certify a step that rejects none of them."""
+    return math.ceil(math.log(delta / max(1, n_strata)) / math.log1p(-alpha))
+
+
+def orders(counts: list[tuple]) -> dict[str | None, list[tuple[int, int]]]:
+    """The sequence of each stratum, as (rule, cutoff) steps, from counts (stratum, rule, cell, good, bad, unlabelled).
+
+    Good counts are not read.  The next step is the cutoff that rejects the most further bad documents for each
+    unlabelled one (one is added, for ratios of small counts); ties go to the earlier rule, then the looser cutoff.
+    A cutoff that rejects no further bad document is no step.
+    """
     out = {}
-    for s in strata:
-        for r in range(len(RULES)):
-            good, bad = np.zeros(GRID + 2, np.int64), np.zeros(GRID + 2, np.int64)
-            for _, _, cell, g, b in (c for c in counts if c[0] == s and c[1] == r):
-                good[min(cell, GRID + 1)] += g
-                bad[min(cell, GRID + 1)] += b
-            lost, caught = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]  # at cell k and above
-            best, gain = None, 0
-            for k in range(GRID, -1, -1):
-                if not upper_bound_holds(int(lost[k + 1]), int(good.sum()), alpha / len(RULES), delta / tests):
-                    break
-                if (g := int(caught[k + 1]) - GOOD_COST * int(lost[k + 1])) > gain:
-                    best, gain = k, g
-            if best is not None:
-                out[s, r] = best
+    for s in {c[0] for c in counts}:
+        caught = np.zeros((2, len(RULES), GRID + 2), np.int64)
+        for _, r, cell, _, bad, *rest in (c for c in counts if c[0] == s):
+            caught[:, r, min(cell, GRID + 1)] += bad, rest[0] if rest else 0
+        caught = caught[:, :, ::-1].cumsum(2)[:, :, ::-1]  # at cell k and above
+        at, out[s] = [GRID + 1] * len(RULES), []
+        while True:
+            best = None
+            for r, now in enumerate(at):
+                for k in range(now - 1, -1, -1):
+                    more, cost = (caught[:, r, k + 1] - (caught[:, r, now + 1] if now <= GRID else 0)).tolist()
+                    if more and (best is None or more * (best[1] + 1) > best[0] * (cost + 1)):
+                        best = more, cost, r, k
+            if best is None:
+                break
+            at[best[2]] = best[3]
+            out[s].append(best[2:])
+    return out
+
+
+def cutoffs(counts: list[tuple], alpha: float = ALPHA, delta: float = DELTA, union=None) -> dict[tuple[str | None, int], int]:
+    """Cutoff by (stratum, rule) from counts (stratum, rule, cell, good, bad, unlabelled; the last may be left out).
+
+    ``union(sequences)`` gives counts (stratum, step, good, bad) of the labelled documents by the first step that
+    rejects them, the length of the sequence for none.  Without it a document counts once for each rule that
+    rejects it, which is never too few.
+    """
+    sequences = orders(counts)
+    tests = max(1, len(sequences))
+    steps = union(sequences) if union else [(s, next((i for i, (q, k) in enumerate(sequences[s]) if q == r and cell > k), len(sequences[s])), g, b) for s, r, cell, g, b, *_ in counts]
+    out = {}
+    for s, sequence in sequences.items():
+        n = max((sum(c[3] for c in counts if c[0] == s and c[1] == r) for r in range(len(RULES))), default=0)
+        good, bad = np.zeros(len(sequence) + 1, np.int64), np.zeros(len(sequence) + 1, np.int64)
+        for _, i, g, b in (x for x in steps if x[0] == s):
+            good[i] += g
+            bad[i] += b
+        lost, caught, taken, gain = good.cumsum(), bad.cumsum(), 0, 0
+        for i in range(len(sequence)):
+            if not upper_bound_holds(int(lost[i]), n, alpha, delta / tests):
+                break
+            if (g := int(caught[i]) - GOOD_COST * int(lost[i])) > gain:
+                taken, gain = i + 1, g
+        out |= {(s, r): k for r, k in sequence[:taken]}  # later steps of a rule are tighter
+    return out
+
+
+def first_step(sequences: dict[str | None, list[tuple[int, int]]]):
+    """Column: the first step of its stratum's sequence that rejects a document, the length of the sequence for none."""
+    out = F.lit(0)
+    for s, sequence in sorted(sequences.items(), key=str):
+        hits = [F.when(F.col("_cells")[r] > k, i) for i, (r, k) in enumerate(sequence)]
+        out = F.when(F.col("stratum").eqNullSafe(F.lit(s)), F.coalesce(*hits, F.lit(len(sequence)))).otherwise(out)
     return out
 
 
 def learn(measured_docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str | None, int], int]:
-    """Cutoffs from the labelled documents; only counts by stratum, rule and grid cell reach the driver
-    (languages x 7 x 101 rows at most).  Documents that fail the base rules don't take part."""
+    """Cutoffs from the labelled documents; only counts by stratum, rule and grid cell, and by stratum and step, reach
+    the driver (languages x 7 x 102 rows at most each).  Documents that fail the base rules don't take part."""
     lab = labels.where("quality IS NOT NULL").select(F.col("doc_id").alias("_id"), "quality")
     held = measured_docs.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).select("doc_id", F.col("lang").alias("stratum"), "_cells")
-    cells = held.join(lab, held["doc_id"] == lab["_id"]).select("stratum", "quality", F.posexplode("_cells").alias("rule", "cell"))
-    good = F.sum(F.when(F.col("quality") == 1, 1).otherwise(0))
-    rows = cells.groupBy("stratum", "rule", "cell").agg(good.alias("good"), (F.count(F.lit(1)) - good).alias("bad")).collect()
-    return cutoffs([tuple(r) for r in rows], alpha, delta)
+    held = written(held.join(lab, held["doc_id"] == lab["_id"], "left").select("stratum", "quality", "_cells"), "cells")
+    good, bad = F.count(F.when(F.col("quality") == 1, 1)).alias("good"), F.count(F.when(F.col("quality") != 1, 1)).alias("bad")
+    cells = held.select("stratum", "quality", F.posexplode("_cells").alias("rule", "cell"))
+    rows = cells.groupBy("stratum", "rule", "cell").agg(good, bad, F.count(F.when(F.col("quality").isNull(), 1)).alias("unlabelled")).collect()
+    labelled = {r["stratum"] for r in rows if r["good"] or r["bad"]}
+
+    def union(sequences):
+        return [tuple(r) for r in held.where("quality IS NOT NULL").groupBy("stratum", first_step(sequences).alias("step")).agg(good, bad).collect()]
+
+    return cutoffs([tuple(r) for r in rows if r["stratum"] in labelled], alpha, delta, union)
 
 
 def passes(cut: dict[tuple[str | None, int], int]):

@@ -56,3 +56,28 @@ def test_bad_documents_go_and_good_ones_stay(spark, make_docs):
     labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(6000)], "doc_id long, quality int, toxic int")
     kept = {x.doc_id for x in Q.keep_good(make_docs(rows), labels).collect()}
     assert kept == {i for i in range(6000) if i % 5}
+
+
+def test_a_stratum_of_few_labels_certifies_all_rules_as_one():
+    need = Q.labels_needed(4)
+    assert need == 217
+    for n in (need - 1, need):
+        counts = [c for s in "abcd" for c in [(s, 0, 0, n, 0, 900), (s, 0, 30, 0, 40, 90), (s, 5, 0, n, 0, 900), (s, 5, 9, 0, 40, 90)]]
+        assert Q.cutoffs(counts) == ({(s, r): k for s in "abcd" for r, k in [(0, 29), (5, 8)]} if n == need else {})
+
+
+def test_the_order_does_not_read_good_labels():
+    r = random.Random(8)
+    counts = [(s, q, cell, r.randint(0, 9), r.randint(0, 9), r.randint(0, 99)) for s in ("en", None) for q in range(7) for cell in range(0, 101, 7)]
+    assert Q.orders(counts) == Q.orders([(*c[:3], 0, *c[4:]) for c in counts])
+
+
+def test_good_documents_that_two_rules_reject_count_once(spark):
+    held = [("en", 1, [0] * 7)] * 800 + [("en", 1, [9, 0, 9, 0, 0, 0, 0])] * 8 + [("en", 0, [9, 0, 9, 0, 0, 0, 0])] * 900
+    docs = spark.createDataFrame([(i, s, 60, 0, c) for i, (s, _, c) in enumerate(held)], "doc_id long, lang string, n_words long, n_repeat_words long, _cells array<int>")
+    labels = spark.createDataFrame([(i, q) for i, (_, q, _) in enumerate(held)], "doc_id long, quality int")
+    sequence = [(0, 8), (2, 8)]
+    rows = docs.withColumnRenamed("lang", "stratum").withColumn("step", Q.first_step({"en": sequence})).groupBy("step").count().collect()
+    assert {r["step"]: r["count"] for r in rows} == {0: 908, 2: 800}
+    # 16 rejections among 808 would not be certified at 2 %
+    assert Q.learn(docs, labels) == {("en", 0): 8}
