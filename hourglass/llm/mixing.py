@@ -39,6 +39,8 @@ BLOCK = 16
 #: Rows of a shard, on average: a source with a third of all rows has a third of the shards.
 SHARD_ROWS = 20_000
 SEED = 17
+#: Parts of a copy that are carried from document to document.
+PART = 1 << 30
 
 
 def n_words(text: Column) -> Column:
@@ -159,14 +161,22 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed:
 
 
 def mixed(docs: DataFrame, block: int = 1024, shard_rows: int = SHARD_ROWS, seed: int = SEED) -> DataFrame:
-    """The mix itself: whole documents, each as often as the part of it that is taken rounds to.
-
-    Blocks are larger here than most documents, so that these are taken or
-    left as a whole.  Rows with equal id and text count together; their other
-    columns come from one of them.
+    """The mix itself: whole documents, each as often as the part of it that is taken, rounded up or down.
+
+    What rounding adds or leaves out is carried along the documents of a shard
+    in order of size from a seeded start, so it never sums to more than about
+    the words of the shard's longest document, at whatever ratio.  Blocks are
+    larger here than most documents, so that these are taken or left as a
+    whole.  Rows with equal id and text count together; their other columns
+    come from one of them.
     """
-    times = _placed(docs.select("doc_id", "source", "text"), block, shard_rows, seed).where("_size > 0").groupBy("_order", "_check").agg(
-        F.sum(F.floor(F.col("taken") / F.col("_size") + 0.5)).cast("int").alias("_times")).where("_times > 0")
+    placed = _placed(docs.select("doc_id", "source", "text"), block, shard_rows, seed).where("_size > 0")
+    # parts of PART, as integers, so that sums don't depend on their order
+    placed = placed.withColumn("_part", F.round(F.col("taken") / F.col("_size") * PART).cast("long"))
+    w = W.partitionBy("src_key", "shard").orderBy("_size", "_order", "_check").rowsBetween(W.unboundedPreceding, W.currentRow)
+    to = F.sum("_part").over(w) + F.pmod(F.xxhash64(F.lit(seed), F.lit("round"), "src_key", "shard"), F.lit(PART))
+    copies = placed.withColumn("_to", to).withColumn("_copies", F.floor(F.col("_to") / PART) - F.floor((F.col("_to") - F.col("_part")) / PART))
+    times = copies.groupBy("_order", "_check").agg(F.sum("_copies").cast("int").alias("_times")).where("_times > 0")
     named = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_order"), F.xxhash64(F.lit("check"), "doc_id", "text").alias("_check"))
     copies = named.dropDuplicates(["_order", "_check"]).join(times, ["_order", "_check"])
     return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select("row.*")

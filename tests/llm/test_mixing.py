@@ -74,3 +74,18 @@ def test_mixed_documents(spark, make_docs, odd_rows, rows):
     M.mixed(make_docs(odd_rows, extra=True)).collect()
     assert M.mix(make_docs(odd_rows, extra=True)).count() == len(odd_rows)
     assert M.mix(make_docs([])).count() == 0 and M.mixed(make_docs([])).count() == 0
+
+
+@pytest.mark.parametrize("others", [2, 12, 60])
+def test_long_documents_of_a_hot_source_come_near_its_target(spark, make_docs, others):
+    r = random.Random(9)
+    rows = [(i, " ".join(["w"] * r.randint(3000, 6000)), "en", "c") for i in range(60)]
+    rows += [(1000 + i, " ".join(["w"] * r.randint(100, 900)), "en", "ab"[i % 2]) for i in range(others * 20)]
+    size = {x[0]: len(x[1].split()) for x in rows}
+    per = {s: sum(size[x[0]] for x in rows if x[3] == s) for s in "abc"}
+    goal = dict(zip("abc", M.targets(np.array([per[s] for s in "abc"]), np.array(M.WEIGHTS, float))))
+    got = dict.fromkeys("abc", 0)
+    for x in M.mixed(make_docs(rows)).collect():
+        got[x.source] += size[x.doc_id]
+    for s in "abc":
+        assert abs(got[s] - goal[s]) <= max(size[x[0]] for x in rows if x[3] == s) + 4 * 1024, (s, got, goal)
