@@ -44,6 +44,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_passages(spark, load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(spark, load(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -90,6 +95,17 @@ SELECT d.doc_id, coalesce(sum(n), 0)::BIGINT AS n_lines, count(f.doc_id) AS n_ch
        sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
 FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY d.doc_id"""
 
+SQL_7_PASSAGES = rf"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+p AS (SELECT *, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS pair,
+             len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) > {line_dedup.LONG_WORDS} AS long FROM lines),
+f AS (SELECT *, pair IS NOT NULL AND row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) > 1 AS twin,
+             long AND row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS alone FROM p),
+g AS (SELECT *, twin OR alone OR coalesce(lag(twin) OVER (PARTITION BY doc_id ORDER BY i), false) AS gone FROM f)
+SELECT d.doc_id, count(g.doc_id) AS n_lines, count(*) FILTER (gone) AS n_removed_lines,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id GROUP BY d.doc_id"""
+
 #: name: (query, SQL).  Where SQL is None, tests/llm compare with brute force: the tokenizer's merges (1), EM (2),
 #: trained machines (5), certified cutoffs (6), all 400-byte strings (8), apportionment (9), components (10).
 QUERIES: dict = {
@@ -100,6 +116,7 @@ QUERIES: dict = {
     "op5_language_id": (op5_language_id, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_line_dedup": (op7_line_dedup, SQL_7),
+    "op7_line_passages": (op7_line_passages, SQL_7_PASSAGES),
     "op8_suffix_dedup": (op8_suffix_dedup, None),
     "op9_source_mixing": (op9_source_mixing, None),
     "op10_minhash_near_dedup": (op10_minhash_near_dedup, None),
