@@ -17,9 +17,11 @@ starts, however far it reaches.
 Defined results: a null html is an empty payload; a null url writes no target;
 a null page_id is never the largest, and comes back as null; rows with equal
 page_id and payload are all response or all revisit; an empty table writes no
-file and gives an empty result; a range at the start of a damaged file, or a
-record whose payload doesn't match its digest, raises ValueError; other
-columns are not read.
+file and gives an empty result; a file of which more or fewer records are read
+than its manifest counts (a damaged member breaks the chain of its range; a
+null count is not compared), a range at the start of a damaged file, or a
+record whose payload doesn't match its digest, raises ValueError; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -178,7 +180,10 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, min_revis
 
 
 def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to and, if asked for, payload (null for revisits)."""
+    """page_id, url, payload_bytes, payload_digest, record_type, refers_to and, if asked for, payload (null for revisits).
+
+    The records are written as a table, so that those of each file are counted before any is returned.
+    """
     ship(spark)
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["payload"] * with_payload
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()] + [pa.binary()] * with_payload
@@ -191,10 +196,15 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, range_b
                 with fs.open_input_file(path) as f:
                     rows = [described(r)[: len(names)] for r in records_in(f, start, min(start + range_bytes, size), size)]
                 for lo in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo : lo + 500]), types)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo : lo + 500]), types)], names=names).append_column("path", pa.array([path] * len(rows[lo : lo + 500]), pa.string()))
 
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return ranges.repartition(tasks).mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload)
+    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload + ", path string"
+    read = written(ranges.repartition(tasks).mapInArrow(run, schema), "records")
+    counts = manifest.join(read.groupBy("path").agg(F.count(F.lit(1)).alias("found")), "path", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    if wrong := counts.where("records <> found").orderBy("path").head(5):
+        raise ValueError("records are damaged or missing: " + "; ".join(f"{r['found']} of {r['records']} read from {r['path']}" for r in wrong))
+    return read.drop("path")
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -74,3 +74,16 @@ def test_payloads_come_back(spark):
     assert len(rows) == len(html)
     for r in rows:
         assert bytes(payload[r.refers_to if r.record_type == "revisit" else r.page_id]).decode() == (html[r.page_id] or "")
+
+
+def test_a_damaged_member_inside_a_file_is_reported(spark, tmp_path):
+    members = [rec(i, random.Random(i).randbytes(500)) for i in range(20)]
+    broken = bytearray(members[9])
+    broken[len(broken) // 2] ^= 255
+    for name, data in (("whole", b"".join(members)), ("broken", b"".join([*members[:9], bytes(broken), *members[10:]]))):
+        (tmp_path / name).write_bytes(data)
+    manifest = spark.createDataFrame([(str(tmp_path / n), (tmp_path / n).stat().st_size, 20) for n in ("whole", "broken")], "path string, bytes long, records long")
+    for step in (700, 10**6):
+        assert W.read_archives(spark, manifest.where("path LIKE '%whole'"), str(tmp_path), step).count() == 20
+        with pytest.raises(ValueError, match="of 20 read from .*broken"):
+            W.read_archives(spark, manifest, str(tmp_path), step).count()
