@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, line_dedup, lm, minhash, mixing, quality, suffix_dedup, warc
+from . import alignment, bpe, divergence, embedding_dedup, exact_dedup, langid, line_dedup, lm, minhash, mixing, quality, suffix_dedup, warc
 from ._shared import crc_mod, load
 
 
@@ -62,6 +62,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dups(spark, load(spark, sf_dir, "documents"), k=4, pct=80)
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(spark, load(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, load(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return alignment.align(spark, load(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -106,8 +119,35 @@ SELECT d.doc_id, count(g.doc_id) AS n_lines, count(*) FILTER (gone) AS n_removed
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id GROUP BY d.doc_id"""
 
+SQL_11 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x), n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id"""
+
+SQL_12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT i, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT i) >= {divergence.LEAST}),
+gs AS (SELECT DISTINCT lang, source FROM d),
+k AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+c AS (SELECT gs.lang, gs.source, kept.term, coalesce(k.n, 0) AS n FROM gs JOIN kept ON gs.lang = kept.lang LEFT JOIN k ON k.lang = gs.lang AND k.source = gs.source AND k.term = kept.term),
+p AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER g + count(*) OVER g) AS p FROM c WINDOW g AS (PARTITION BY lang, source)),
+a AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER g + count(*) OVER g) AS q FROM a WINDOW g AS (PARTITION BY lang)),
+f AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+e AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM gs x JOIN gs y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, ((p - q) * (p - q) // q)::BIGINT FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM e)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM o WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
 #: name: (query, SQL).  Where SQL is None, tests/llm compare with brute force: the tokenizer's merges (1), EM (2),
-#: trained machines (5), certified cutoffs (6), all 400-byte strings (8), apportionment (9), components (10).
+#: trained machines (5), certified cutoffs (6), all 400-byte strings (8), apportionment (9), components (10),
+#: links of token occurrences (13).
 QUERIES: dict = {
     "op1_bpe": (op1_bpe, None),
     "op2_lm_scoring": (op2_lm_scoring, None),
@@ -120,5 +160,8 @@ QUERIES: dict = {
     "op8_suffix_dedup": (op8_suffix_dedup, None),
     "op9_source_mixing": (op9_source_mixing, None),
     "op10_minhash_near_dedup": (op10_minhash_near_dedup, None),
+    "op11_embedding_near_dedup": (op11_embedding_near_dedup, SQL_11),
+    "op12_source_divergence": (op12_source_divergence, SQL_12),
+    "op13_tokenizer_alignment": (op13_tokenizer_alignment, None),
     "pipeline": (pipeline, None),
 }
