@@ -81,6 +81,19 @@ def test_equals_token_by_token(spark, make_docs, monkeypatch, models, docs, held
     assert sorted((tuple(r) for r in out.collect()), key=str) == expected(models, rows)
 
 
+def test_encoders_agree_on_rare_characters(models):
+    import json
+    raw = open(tokenizer_path(), "rb").read()
+    spec = json.loads(raw)
+    spec["model"]["merges"][0], spec["model"]["merges"][1] = spec["model"]["merges"][1], spec["model"]["merges"][0]
+    (fast, names), (other, _) = al.byte_level(raw), al.byte_level(json.dumps(spec).encode())  # the second through the library
+    chars = [chr(i) for i in range(0, 0x110000, 37) if not 0xD800 <= i < 0xE000]
+    texts = [f" a{c}1{c}{c} {c}b{c}'s  {c}\n<|endoftext|>" for c in chars]
+    want = [e.ids for e in models[0].encode_batch(texts, add_special_tokens=False)]
+    assert fast(texts) == want
+    assert len(other(texts)) == len(want) and b"".join(names[i] for i in want[5]).decode() == texts[5]
+
+
 def test_long_text(spark, make_docs):
     words = [f"w{i * 7919 % 997}" for i in range(120_000)]
     rows = al.align(spark, make_docs([(1, " ".join(words)), (2, "y" * 200_000)]), tokenizer_path(), B_PATH).orderBy("doc_id").collect()
