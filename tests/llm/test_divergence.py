@@ -51,7 +51,7 @@ def frame(make_docs, rows, extra=False):
 
 @pytest.mark.parametrize("broadcast, shard, tile, held", [(dv.BROADCAST_BYTES, dv.SHARD, dv.TILE, dv.HELD), (dv.BROADCAST_BYTES, 10, 2, 50), (0, 10, 3, 50)])
 def test_equals_plain_counts(spark, make_docs, monkeypatch, broadcast, shard, tile, held):
-    for name, value in (("SHARD", shard), ("TILE", tile), ("HELD", held)):
+    for name, value in (("SHARD", shard), ("TILE", tile), ("HELD", held), ("SOURCES", 3 if tile == 2 else dv.SOURCES)):
         monkeypatch.setattr(dv, name, value)
     monkeypatch.setattr(dv, "DENSE_BYTES", 1000 if held == 50 else dv.DENSE_BYTES)
     rows = rows_of(2)
