@@ -51,7 +51,9 @@ def op7_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(spark, load(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # what is left, as text: a cut inside a character leaves a replacement character
+    left = F.expr("make_valid_utf8(cast(kept AS string))").alias("kept_text")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"), left)
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
