@@ -1,21 +1,19 @@
 """Resampling and profiling aggregates.
 
 All are single-pass declarative aggregates (partial + final) except the
-exact quantiles, which ride on the distributed position (a sort spread over
-value blocks) instead of collecting values into one task.
+exact quantiles, which take a few (``quantiles.py``).
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import time as T
-from ..session import shuffle_partitions
-from .series import Diff, _cols, block_offsets, halo_windows, order_blocks, running_period_max, with_position
+from .quantiles import column_quantiles
+from .series import Diff, _cols, halo_windows, running_period_max, with_position
 
 
 def resample(df: DataFrame, ts_col: str, value_cols: Sequence[str], how: str = "mean",
@@ -46,60 +44,19 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles (pandas / ``quantile_cont``).
-
-    Equal values are interchangeable, so they are counted first (a partial
-    aggregation, whatever share one value has).  The counts are summed per
-    value block, and only blocks that hold a needed position are sorted; one
-    aggregation picks the values.  The row count arrives with the block bounds.
-    """
-    vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    spark = df.sparkSession
-    blocked, n = order_blocks(vals, "_v", 4 * shuffle_partitions(spark), "_hg_blk", with_count=True)
-    if n == 0:
-        return spark.createDataFrame([(float(q), None) for q in probs], "q double, value double")
-    need = []
-    for q in probs:
-        h = (n - 1) * float(q)
-        lo = int(math.floor(h))
-        hi = min(lo + 1, n - 1)
-        need.append((float(q), lo, hi, h - lo))
-    idx = sorted({i for _, lo, hi, _ in need for i in (lo, hi)})
-    offsets = block_offsets(blocked.groupBy("_hg_blk").agg(F.count(F.lit(1)).alias("_hg_n")), [])
-    hit = F.exists(F.lit(idx), lambda i: (F.col("_hg_off") <= i) & (i < F.col("_hg_off") + F.col("_hg_n")))
-    each = blocked.groupBy("_hg_blk", "_v").agg(F.count(F.lit(1)).alias("_n")).join(offsets.where(hit), "_hg_blk")
-    w = Window.partitionBy("_hg_blk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    each = each.withColumn("_end", F.col("_hg_off") + F.sum("_n").over(w))
-    at = {i: f"v{i}" for i in idx}
-    picked = each.agg(*[F.max(F.when((F.col("_end") - F.col("_n") <= i) & (F.col("_end") > i), F.col("_v"))).alias(c)
-                        for i, c in at.items()])
-    return picked.select(F.inline(F.array(*[
-        F.struct(F.lit(q).alias("q"), (F.col(at[lo]) + (F.col(at[hi]) - F.col(at[lo])) * F.lit(frac)).alias("value"))
-        for q, lo, hi, frac in need])))
+    """Linear-interpolated quantiles (pandas / ``quantile_cont``), exact,
+    by a few aggregations that narrow the bounds of each rank."""
+    found = column_quantiles(df, [col], probs)[col]["q"]
+    return df.sparkSession.createDataFrame([(float(p), v) for p, v in zip(probs, found)], "q double, value double")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count / mean / std / min / 25% / 50% / 75% / max per column (long)."""
-    spark = df.sparkSession
-    parts = []
-    for c in cols:
-        base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                      F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                      F.max(c).cast("double").alias("max")).withColumn("column", F.lit(c))
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        qw = q.groupBy().pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
-        qw = qw.select(*[F.col(f"`{k}`").alias(n) for k, n in
-                         (("0.25", "q25"), ("0.5", "q50"), ("0.75", "q75"))])
-        parts.append(_attach(base, qw))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-
-
-def _attach(one_row: DataFrame, other_one_row: DataFrame) -> DataFrame:
-    """Attach the columns of another one-row frame as scalar subqueries."""
-    return one_row.select("*", *[other_one_row.select(c).scalar().alias(c) for c in other_one_row.columns])
+    """Count / mean / std / min / 25% / 50% / 75% / max per column (long),
+    all columns in the same passes."""
+    found = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+    rows = [(c, v["count"], v["mean"], v["std"], v["min"], *v["q"], v["max"]) for c, v in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, "
+                                                 "q25 double, q50 double, q75 double, max double")
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], ts_col: str) -> DataFrame:

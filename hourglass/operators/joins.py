@@ -12,8 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import UNB_PREC, _cols, _series_window, order_blocks, series_keys
-from ..session import shuffle_partitions
+from .series import UNB_PREC, _cols, carried, series_blocks, series_keys
 
 
 def time_spine(df: DataFrame, ts_col: str = "ts", series_cols=None, step: str = "1 hour",
@@ -51,12 +50,13 @@ def asof_backward(left: DataFrame, right: DataFrame, ts_col: str, by_cols: Seque
     highest ``right_id`` wins).
 
     Both sides are unioned and forward-filled in ``(ts, side, id)`` order.
-    The fill runs per ``(by, time block)`` with the last match of earlier
-    blocks carried in from a small per-block table, so a hot key never
-    lands in one task and no nested-loop join is planned.
+    Keys of at most ``series.SERIES_ROWS`` rows are filled whole.  Longer ones
+    are cut into blocks of their time range, with the last match of earlier
+    blocks carried in from a table of one row per block (a scan of two
+    levels), so a hot key never lands in one task and no nested-loop join is
+    planned.  ``num_blocks`` cuts every key into about so many blocks.
     """
     by = list(by_cols)
-    n = num_blocks or 4 * shuffle_partitions(left.sparkSession)
     match_fields = [F.col(c).alias(c) for c in right_cols]
     if matched_ts_col:
         match_fields.append(F.col(ts_col).alias(matched_ts_col))
@@ -67,21 +67,20 @@ def asof_backward(left: DataFrame, right: DataFrame, ts_col: str, by_cols: Seque
                     F.lit(None).cast(r.schema["_hg_m"].dataType).alias("_hg_m"),
                     F.struct(*[F.col(c) for c in lcols]).alias("_hg_l"))
     u = l.unionByName(r, allowMissingColumns=True)
-    u = order_blocks(u, ts_col, n, "_hg_blk")
     u, skey = series_keys(u, by)
-    keys = [*skey, "_hg_blk"]
-    okey = F.struct(F.col(ts_col), F.col("_hg_side"), F.col("_hg_id"))
-    # carry for a block = last match among right rows of strictly earlier
-    # blocks of the same key; the table has one row per (key, block)
-    last = F.when(F.col("_hg_m").isNotNull(), F.struct(okey.alias("k"), F.col("_hg_m").alias("m")))
-    blocks = u.groupBy(*keys).agg(F.max(last).alias("_hg_last"))
-    wc = _series_window(skey).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
-    ub = blocks.select(*keys, F.last("_hg_last", True).over(wc).getField("m").alias("_hg_prev"))
-    # the join and the window have the same keys: one exchange of the rows
-    j = u.join(ub, keys)
-    wl = Window.partitionBy(*keys).orderBy(ts_col, "_hg_side", "_hg_id") \
-        .rowsBetween(UNB_PREC, 0)
-    m = F.coalesce(F.last("_hg_m", True).over(wl), F.col("_hg_prev"))
+    u, _, cut = series_blocks(u, ts_col, skey, num_blocks)
+    u = u.withColumn("_hg_blk", F.coalesce("_hg_blk", F.lit(-1))) if cut else u.drop("_hg_blk")
+    keys = [*skey, "_hg_blk"] if cut else skey
+    wl = Window.partitionBy(*keys).orderBy(ts_col, "_hg_side", "_hg_id").rowsBetween(UNB_PREC, 0)
+    m = F.last("_hg_m", True).over(wl)
+    j = u
+    if cut:
+        okey = F.struct(F.col(ts_col), F.col("_hg_side"), F.col("_hg_id"))
+        last = F.when(F.col("_hg_m").isNotNull(), F.struct(okey.alias("k"), F.col("_hg_m").alias("m")))
+        blocks = u.where("_hg_blk >= 0").groupBy(*keys).agg(F.max(last).alias("_hg_prev"))
+        # the join and the window have the same keys: one exchange of the rows
+        j = u.join(carried(blocks, skey, "_hg_blk", ["_hg_prev"]), keys, "left")
+        m = F.coalesce(m, F.col("_hg_prev").getField("m"))
     out = j.withColumn("_hg_match", m).where(F.col("_hg_side") == 1)
     sel = [*by, ts_col, *[F.col(f"_hg_l.{c}").alias(c) for c in lcols],
            *[F.col(f"_hg_match.{c}").alias(c) for c in right_cols]]

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import price_tier
+from ..session import materialize_small
+from .series import fill_forward_backward
 from .sweep import interval_index
 
 # --- fixed values that must equal the reference's --------------------------
@@ -220,6 +222,37 @@ def false_positive_audit(df: DataFrame, pred: str, target: str = "Scarcity",
              .withColumn("passed", (F.col("pct") < pass_pct).cast("int"))
 
 
+def event_free_audit(df: DataFrame, event: Column, pred: str, ts_col: str, pos_col: str, target: str = "Scarcity",
+                     pass_pct: float = FP_PASS_PCT, start=None, end=None) -> DataFrame:
+    """False alarms of ``pred`` in the longest run of rows without an event (ties: the
+    earliest), or in the rows from ``start`` to ``end``.
+
+    ``df`` is a gap-free spine with positions.  A run is named by the position
+    of the event before it, which is carried forward over buckets, so no
+    window sees the whole series."""
+    marked = df.withColumn("_hg_event", event)
+    if start is None:
+        named = fill_forward_backward(marked.withColumn("_hg_run", F.when(F.col("_hg_event"), F.col(pos_col))), ["_hg_run"], None, pos_col, backward=False)
+        free = named.where(~F.col("_hg_event")).withColumn("_hg_run", F.coalesce("_hg_run", F.lit(-1)))
+        runs = free.groupBy("_hg_run").agg(F.min(ts_col).alias("s"), F.max(ts_col).alias("e"), F.count(F.lit(1)).alias("n"))
+        best = materialize_small(runs.agg(F.min_by(F.struct("s", "e"), F.struct(-F.col("n"), F.col("s"))).alias("b")).select("b.s", "b.e"))
+        inside = F.col(ts_col).between(best.select("s").scalar(), best.select("e").scalar())
+    else:
+        inside = F.col(ts_col).between(start, end)
+    rows = marked.where(inside)
+    out = rows.agg(F.min(ts_col).alias("start_ts"), F.max(ts_col).alias("end_ts"), F.count(F.lit(1)).alias("n_rows"),
+                   F.count_if(F.col(pred) == target).alias("n_flagged"))
+    return out.withColumn("pct", F.round(_div0(F.col("n_flagged") * 100.0, F.col("n_rows")), 2)) \
+              .withColumn("passed", (F.col("pct") < pass_pct).cast("int"))
+
+
+def mae_ratio(df: DataFrame, actual: str, pred: str, training: Column) -> DataFrame:
+    """Mean absolute error on training and test rows, and test over training."""
+    e = F.abs(F.col(actual) - F.col(pred))
+    return df.agg(F.avg(F.when(training, e)).alias("train_mae"), F.avg(F.when(~training, e)).alias("test_mae")) \
+             .withColumn("ratio", F.try_divide("test_mae", "train_mae"))
+
+
 def error_slices(df: DataFrame, actual: str, pred: str, target: str = "Scarcity") -> DataFrame:
     """Caught / missed / false alarms of ``target`` with the class on the
     other side of the error."""

@@ -2,8 +2,7 @@
 
 Every fit is a distributed Spark ML fit; loops run over folds or parameter
 sets (k small) on the driver, never over rows.  The expanding-window OLS
-uses per-region Gramians (one aggregation, p x p numbers per region) and
-solves the k tiny systems on the driver.
+uses per-region Gramians (``gramian.py``).
 
 Spark trees are not LightGBM: no native missing values (impute first, with
 indicator columns), depth-wise growth, and GBT is binary.  Results are
@@ -12,9 +11,11 @@ compared on quality, not bit-for-bit.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Sequence
 
 import numpy as np
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import regime
-from .folds import fold_bounds
+from .folds import test_fold
+from .gramian import expanding_ols
 
 # --- fixed values that must equal the reference's --------------------------
 CLASS_WEIGHTS = {"Scarcity": 40.0, "Tight": 1.0, "Normal": 1.0, "Surplus": 5.0}
@@ -65,6 +67,39 @@ FEATURE_SETS: dict[str, dict] = {
 }
 
 
+# --- fixed values that must equal the reference's: columns that a model may not see -------------
+_TARGETS = ("ts", "prc", "regime", "rt", "dam", "spread", "adder_reserve", "adder_offline", "adder_reliability")
+_PRC_ROLLS = ("prc_roll_mean_6h", "prc_roll_std_6h", "prc_roll_mean_24h")
+_NOT_A_DAY_AHEAD = (
+    "hub_load", "load_total", "wind", "wind_system", "solar", "net_load_system", "net_load_west",
+    "renewable_pct_system", "renewable_pct_west", "wind_forecast_error", "solar_forecast_error",
+    "rt_1h_lag", "dam_1h_lag",
+    "rt_roll_mean_6h", "rt_roll_std_6h", "dam_roll_mean_6h", "dam_roll_std_6h", "hub_load_roll_mean_6h", "hub_load_roll_std_6h",
+    "load_total_roll_mean_6h", "load_total_roll_std_6h", "wind_roll_mean_6h", "wind_roll_std_6h",
+    "load_total_ramp", "hub_load_ramp", "wind_ramp", "wind_system_ramp", "rt_ramp",
+    "adder_reserve_log1p", "adder_offline_log1p", "adder_reliability_log1p",
+)
+FEATURE_DROPS = {
+    "prc_1h": _TARGETS + _PRC_ROLLS,
+    "prc_24h": _TARGETS + _NOT_A_DAY_AHEAD,
+    "price_1h": ("ts", "regime", "rt", "dam", "spread", "adder_reserve", "adder_offline", "adder_reliability"),
+    "spread_24h": ("ts", "regime", "rt", "spread", "adder_reserve", "adder_offline", "adder_reliability") + _NOT_A_DAY_AHEAD
+    + ("wind_load_ratio", "prc_1h_lag", "spread_1h_lag", "price_spike_lag", "prc_roll_mean_6h", "prc_roll_std_6h"),
+    "peak": _TARGETS + (
+        "adder_reserve_log1p", "adder_offline_log1p", "adder_reliability_log1p", "rt_1h_lag", "rt_24h_lag", "rt_168h_lag", "spread_1h_lag",
+        "price_spike_lag", "rt_roll_mean_6h", "rt_roll_std_6h", "rt_roll_mean_24h", "rt_roll_std_24h", "rt_ramp",
+        "dam_roll_mean_6h", "dam_roll_std_6h", "dam_roll_mean_24h", "dam_roll_std_24h", "is_4cp_peak", "year"),
+}
+# -------------------------------------------------------------------------------------------------
+#: columns of the table that are no features of any model
+HELPERS = ("pos", "n_events", "zone_view", "zone_click", "zone_signup", "zone_error")
+
+
+def full_feature_set(df: DataFrame, name: str) -> list[str]:
+    """All numeric columns but those that the named model may not see."""
+    return numeric_columns(df, drop=[*FEATURE_DROPS[name], *HELPERS])
+
+
 def feature_set(name: str) -> list[str]:
     return list(FEATURE_SETS[name]["features"])
 
@@ -117,20 +152,82 @@ def predict_residual_ensemble(models, df: DataFrame, prediction: str = "predicti
     return out.withColumn(prediction, F.col("_lin") + F.col("_res_pred")).drop("_lin", "_res_pred", "_f2")
 
 
+def _gbt_features(train: DataFrame, features: Sequence[str], label: str, fit_on: Column | None = None):
+    """Imputer (fitted on the rows of ``fit_on`` alone) and assembler, and the prepared rows."""
+    d = with_null_indicators(train.where(F.col(label).isNotNull()), features)
+    imp = imputer(features).fit(d if fit_on is None else d.where(fit_on))
+    asm = VectorAssembler(inputCols=[f"{c}_imp" for c in features] + [f"{c}_isnull" for c in features], outputCol="_f")
+    return [imp, asm], asm.transform(imp.transform(d))
+
+
 def fit_gbt_regressor(train: DataFrame, features: Sequence[str], label: str,
                       validation_col: str | None = None, max_iter: int = 50, max_depth: int = 5,
                       step: float = 0.1) -> PipelineModel:
     """M3 / M4: boosted trees; imputation + indicators replace native missing
-    handling; optional validation rows drive early stopping."""
-    ind = [f"{c}_isnull" for c in features]
-    imp = imputer(features)
-    asm = VectorAssembler(inputCols=[f"{c}_imp" for c in features] + ind, outputCol="_f")
+    handling; optional validation rows drive early stopping, and set nothing else."""
     kw = dict(featuresCol="_f", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=SEED)
     if validation_col:
         kw.update(validationIndicatorCol=validation_col, validationTol=0.001)
-    gbt = GBTRegressor(**kw)
-    d = with_null_indicators(train.where(F.col(label).isNotNull()), features)
-    return Pipeline(stages=[imp, asm, gbt]).fit(d)
+    stages, rows = _gbt_features(train, features, label, ~F.col(validation_col) if validation_col else None)
+    return PipelineModel([*stages, GBTRegressor(**kw).fit(rows)])
+
+
+def best_iteration(curve: Sequence[float], patience: int) -> int:
+    """The number of trees at the least validation error before ``patience`` iterations bring no better one."""
+    best = 0
+    for i, e in enumerate(curve):
+        if e < curve[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model, m: int):
+    """The boosted model cut to its first ``m`` trees."""
+    from pyspark.ml.regression import GBTRegressionModel
+    java = model._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    jvm = gateway.jvm
+    kind = jvm.org.apache.spark.ml.regression
+    trees, weights = java.trees(), java.treeWeights()
+    some, share = gateway.new_array(kind.DecisionTreeRegressionModel, m), gateway.new_array(jvm.double, m)
+    for i in range(m):
+        some[i], share[i] = trees[i], weights[i]
+    cut = GBTRegressionModel(kind.GBTRegressionModel(f"{model.uid}_{m}", some, share, model.numFeatures))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def fit_gbt_early_stop(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, max_iter: int = 50,
+                       max_depth: int = 5, step: float = 0.1, patience: int = 10) -> tuple[PipelineModel, list[float], int]:
+    """M4: (model, validation curve, chosen number of trees).
+
+    All ``max_iter`` trees are fitted on the training rows; the curve is the
+    mean squared error on the validation rows after each tree, and the
+    ensemble is cut where :func:`best_iteration` says."""
+    stages, rows = _gbt_features(train, features, label)
+    gbt = GBTRegressor(featuresCol="_f", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=SEED).fit(rows)
+    held = with_null_indicators(valid.where(F.col(label).isNotNull()), features)
+    for s in stages:
+        held = s.transform(held)
+    curve = [float(e) for e in gbt.evaluateEachIteration(held, "squared")]
+    m = best_iteration(curve, patience)
+    return PipelineModel([*stages, first_trees(gbt, m)]), curve, m
+
+
+def importances(model: PipelineModel, scored: DataFrame, base_of: Callable[[str], str] | None = None, features_col: str = "_f") -> list[tuple[str, float]]:
+    """[(column, importance)] of a fitted tree ensemble, greatest first; they sum to 1.
+
+    Slots of the feature vector get their names from the ML attributes of
+    ``scored`` (rows with the assembled vector); the slots of one column (its
+    imputed value and its null flag) are added up."""
+    attrs = scored.schema[features_col].metadata["ml_attr"]["attrs"]
+    name = {a["idx"]: a["name"] for kind in attrs.values() for a in kind}
+    base_of = base_of or (lambda n: n.removesuffix("_imp").removesuffix("_isnull"))
+    total: dict[str, float] = {}
+    for i, v in enumerate(model.stages[-1].featureImportances.toArray()):
+        total[base_of(name[i])] = total.get(base_of(name[i]), 0.0) + float(v)
+    return sorted(total.items(), key=lambda x: (-x[1], x[0]))
 
 
 def predict_with(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -229,72 +326,54 @@ def baseline_models(train: DataFrame, test: DataFrame, features: Sequence[str],
 # M8 + M1 (fold Gramians), M10 (out-of-fold), M9 (grid search)
 # ---------------------------------------------------------------------------
 
-def fold_ols(df: DataFrame, pos_col: str, n: int, k: int, features: Sequence[str], label: str) -> DataFrame:
-    """Expanding-window OLS per fold from per-region Gramians.
-
-    Region ``r`` holds rows between consecutive test-block starts; fold ``f``
-    trains on regions ``< f``.  One aggregation yields XᵀX and Xᵀy per region
-    (p x p numbers each); prefix sums and k solves happen on the driver.
-    """
-    bounds = fold_bounds(n, k)
-    starts = [lo for _, lo, _ in bounds]
-    p = F.col(pos_col)
-    reg = F.lit(0)
-    for i, s in enumerate(starts):
-        reg = F.when(p >= s, F.lit(i + 1)).otherwise(reg)
-    xs = [F.lit(1.0)] + [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    aggs = [F.sum(xs[i] * xs[j]).alias(f"xx_{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
-    aggs += [F.sum(xs[i] * y).alias(f"xy_{i}") for i in range(len(xs))]
-    g = df.groupBy(reg.alias("region")).agg(*aggs).collect()   # <= k + 1 rows
-    q = len(xs)
-    per = {r.region: r for r in g}
-    out = []
-    xx = np.zeros((q, q))
-    xy = np.zeros(q)
-    terms = ["intercept", *features]
-    for f, lo, _ in bounds:
-        r = per.get(f - 1)
-        if r is not None:
-            for i in range(q):
-                for j in range(i, q):
-                    v = r[f"xx_{i}_{j}"] or 0.0
-                    xx[i, j] += v
-                    if i != j:
-                        xx[j, i] += v
-            xy += np.array([r[f"xy_{i}"] or 0.0 for i in range(q)])
-        beta = np.linalg.solve(xx, xy)
-        out += [(f, t, float(b)) for t, b in zip(terms, beta)]
+def ols_by_fold(df: DataFrame, fold: Column, k: int, features: Sequence[str], label: str) -> DataFrame:
+    """Expanding-window OLS (``gramian.expanding_ols``): fold, term, coef."""
+    out = [(f, t, float(b)) for f, _, _, beta in expanding_ols(df, fold, k, features, label) for t, b in zip(["intercept", *features], beta)]
     return df.sparkSession.createDataFrame(out, "fold int, term string, coef double")
 
 
-def oof_predictions(df: DataFrame, pos_col: str, n: int, k: int,
-                    fit: Callable[[DataFrame], PipelineModel],
-                    score: Callable[[PipelineModel, DataFrame], DataFrame]) -> DataFrame:
+def fold_ols(df: DataFrame, pos_col: str, n: int, k: int, features: Sequence[str], label: str) -> DataFrame:
+    """:func:`ols_by_fold` for rows that have positions."""
+    return ols_by_fold(df, F.coalesce(test_fold(pos_col, n, k), F.lit(0)), k, features, label)
+
+
+#: fits that run at a time; Spark shares the executors among their jobs
+CONCURRENT_FITS = 4
+
+
+def concurrently(jobs: Sequence[Callable[[], object]], at_a_time: int = CONCURRENT_FITS) -> list:
+    """The results of the jobs in their order; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=max(1, min(at_a_time, len(jobs)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+
+
+def oof_predictions(df: DataFrame, k: int, fit: Callable[[DataFrame], PipelineModel],
+                    score: Callable[[PipelineModel, DataFrame], DataFrame], fold: str = "fold", at_a_time: int = CONCURRENT_FITS) -> DataFrame:
     """Union of each fold's test-block predictions from a model fitted
-    on that fold's training rows only; always-train rows get no score."""
+    on that fold's training rows only (all earlier folds); rows of fold 0
+    always train and get no score.  The folds are fitted concurrently."""
+    col = F.col(fold)
+    models = concurrently([lambda f=f: fit(df.where(col < f)) for f in range(1, k + 1)], at_a_time)
     out = None
-    p = F.col(pos_col)
-    for f, lo, hi in fold_bounds(n, k):
-        model = fit(df.where(p < lo))
-        s = score(model, df.where((p >= lo) & (p < hi))).withColumn("fold", F.lit(f))
+    for f, model in enumerate(models, 1):
+        s = score(model, df.where(col == f)).withColumn(fold, F.lit(f))
         out = s if out is None else out.unionByName(s)
     return out
 
 
-def grid_search(df: DataFrame, pos_col: str, n: int, k: int, grid: Sequence[dict],
-                fit: Callable[[DataFrame, dict], PipelineModel],
-                metric: Callable[[PipelineModel, DataFrame], float]) -> DataFrame:
-    """M9: every parameter set evaluated on every expanding-window fold;
-    mean metric per set (CrossValidator cannot express expanding windows)."""
-    p = F.col(pos_col)
+def grid_search(df: DataFrame, k: int, grid: Sequence[dict], fit: Callable[[DataFrame, dict], PipelineModel],
+                metric: Callable[[PipelineModel, DataFrame], float], fold: str = "fold", at_a_time: int = CONCURRENT_FITS) -> DataFrame:
+    """M9: every parameter set evaluated on every expanding-window fold, as
+    concurrent fits over one prepared table; mean metric per set
+    (CrossValidator cannot express expanding windows)."""
+    col = F.col(fold)
+    cells = [(g, f) for g in range(len(grid)) for f in range(1, k + 1)]
+    found = concurrently([lambda g=g, f=f: metric(fit(df.where(col < f), grid[g]), df.where(col == f)) for g, f in cells], at_a_time)
+    vals = {c: v for c, v in zip(cells, found)}
     rows = []
-    for gi, params in enumerate(grid):
-        vals = []
-        for f, lo, hi in fold_bounds(n, k):
-            m = fit(df.where(p < lo), params)
-            vals.append(metric(m, df.where((p >= lo) & (p < hi))))
-        rows.append((gi, str(sorted(params.items())), float(np.mean(vals)), float(np.min(vals))))
+    for g, params in enumerate(grid):
+        own = [vals[g, f] for f in range(1, k + 1)]
+        rows.append((g, str(sorted(params.items())), float(np.mean(own)), float(np.min(own))))
     return df.sparkSession.createDataFrame(rows, "grid_id int, params string, mean_metric double, min_metric double")
 
 

@@ -6,22 +6,23 @@ is the i-th row in ``order_cols`` order after any earlier filtering, so
 
 Three building blocks carry the scale:
 
-* :func:`with_position` - dense 0-based position per series without a
-  per-series window.  Rows are cut into blocks of the global order range
-  (fixed time spans, or even cuts between a bounded number of quantiles),
-  numbered inside ``(series, block)``, and a narrow table of
-  ``(series, block) -> row count`` is prefix-summed to give every block its
-  starting offset (the counts are a map-side partial aggregation).  Block
-  assignment is a pure function of the row, so retries are deterministic
-  (physical partition ids are never used).
+* :func:`with_position` - dense 0-based position per series.  One map-side
+  count tells the series with more than ``SERIES_ROWS`` rows; the others are
+  numbered whole.  A longer series is cut into blocks of about ``BLOCK_ROWS``
+  rows of its own order range (quantiles of a sketch, cut evenly between), its
+  rows are numbered inside ``(series, block)``, and a table with one row per
+  block of the long series gives every block its offset, by a scan of two
+  levels.  Block assignment is a function of the row and the checkpointed
+  cuts, so retries are deterministic (physical partition ids are never used).
 * :func:`halo_windows` - ``bucket = pos div B``; the last ``H`` rows of a
   bucket are copied into the next bucket, windows run per
   ``(series, bucket)`` and the copies are dropped.  Each task sees at most
   ``B + H`` rows of any series.
 * carry operators (:func:`fill_forward_backward`, :func:`interpolate_linear`,
-  :func:`running_period_max`) - per-bucket summaries are prefix-scanned over
-  buckets (a table of ``N / B`` rows), joined back, and combined with an
-  in-bucket window.
+  :func:`running_period_max`) - per-bucket summaries are scanned over buckets
+  (a table of ``N / B`` rows, in two levels: no task sees more than ``SPAN``
+  buckets or ``N / (B * SPAN)`` spans), joined back, and combined with an
+  in-bucket window on the same keys.
 """
 
 from __future__ import annotations
@@ -32,11 +33,18 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
-
 DEFAULT_BUCKET = 100_000
-# span of a position block of a temporal column
-BLOCK_SECONDS = 60.0
+# rows of a series that are numbered in one piece
+SERIES_ROWS = 100_000
+# rows of a block of a longer series; an order range eight times as dense as
+# its surroundings still makes blocks of at most SERIES_ROWS
+BLOCK_ROWS = SERIES_ROWS // 8
+# quantiles of a long series that guide its cuts
+SERIES_BOUNDS = 32
+# long series whose cuts may be broadcast (about 300 bytes each)
+BROADCAST_SERIES = 20_000
+# blocks or buckets that one task scans at the lower of two levels
+SPAN = 1024
 # quantiles fetched to cut a numeric column; finer blocks are even cuts
 # between them
 SKETCH_BOUNDS = 1_000
@@ -54,21 +62,12 @@ def _cols(xs: Iterable[str] | str | None) -> list[str]:
     return list(xs)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                    how: str = "inner") -> DataFrame:
-    """Join on ``keys`` treating NULL = NULL (series keys may be null)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out.drop(*[f"_r_{k}" for k in keys])
-
+def series_keys(df: DataFrame, series: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The frame with the series columns as one struct, and the name of that key.
 
-def _series_window(series_cols: Sequence[str]):
-    return Window.partitionBy(*series_cols) if series_cols else Window.partitionBy()
+    A struct is never null and its null fields are equal, so a plain equality
+    is null-safe, and a window and a join on it share one exchange."""
+    return (df.withColumn("_hg_s", F.struct(*series)), ["_hg_s"]) if series else (df, [])
 
 
 # ---------------------------------------------------------------------------
@@ -94,22 +93,16 @@ def _order_key_double(df: DataFrame, name: str) -> Column:
 
 
 def order_blocks(df: DataFrame, order_col: str, num_blocks: int, block_col: str = "_hg_blk",
-                 with_count: bool = False, block_seconds: float = BLOCK_SECONDS):
-    """Assign every row a block (long) of the global ``order_col`` range.
-
-    A temporal column is cut into spans of ``block_seconds``: a function of the
-    row alone, without a job.  For a numeric column, at most ``SKETCH_BOUNDS``
-    approximate quantiles are fetched (a sketch of fixed size, whatever the
-    input), and each range between two of them is cut evenly until there are
-    about ``num_blocks`` blocks.  Either way retries and re-evaluation give the
-    same block, later keys never get an earlier one, and equal keys share one.
-    Returns the frame, or ``(frame, row_count)`` with ``with_count``.
+                 with_count: bool = False):
+    """Assign every row a block (long) of the global range of a numeric column.
+
+    At most ``SKETCH_BOUNDS`` approximate quantiles are fetched (a sketch of
+    fixed size, whatever the input), and each range between two of them is cut
+    evenly until there are about ``num_blocks`` blocks.  Later keys never get an
+    earlier block, and equal keys share one.  Returns the frame, or
+    ``(frame, row_count)`` with ``with_count``.
     """
-    key = _order_key_double(df, order_col)
-    if df.schema[order_col].dataType.typeName() in ("timestamp_ntz", "timestamp", "date"):
-        out = df.withColumn(block_col, F.coalesce(F.floor(key / F.lit(float(block_seconds))), F.lit(-(1 << 60))))
-        return (out, df.count()) if with_count else out
-    d = df.withColumn("_hg_okey", F.coalesce(key, F.lit(float("-inf"))))
+    d = df.withColumn("_hg_okey", F.coalesce(_order_key_double(df, order_col), F.lit(float("-inf"))))
     k = max(2, min(num_blocks, SKETCH_BOUNDS))
     row = d.agg(F.count(F.lit(1)).alias("n"), F.min("_hg_okey").alias("lo"), F.max("_hg_okey").alias("hi"),
                 F.percentile_approx("_hg_okey", [i / k for i in range(1, k)], 4 * k).alias("q")).first()
@@ -131,65 +124,96 @@ def order_blocks(df: DataFrame, order_col: str, num_blocks: int, block_col: str
     return (out, int(row["n"])) if with_count else out
 
 
-def series_keys(df: DataFrame, series: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """The frame with the series columns as one struct, and the name of that key.
+def series_blocks(df: DataFrame, order_col: str, skey: Sequence[str], num_blocks: int | None = None):
+    """Cut the series with more than ``SERIES_ROWS`` rows into blocks of about ``BLOCK_ROWS``.
 
-    A struct is never null and its null fields are equal, so a plain equality
-    is null-safe, and a window and a join on it share one exchange."""
-    return (df.withColumn("_hg_s", F.struct(*series)), ["_hg_s"]) if series else (df, [])
+    Returns ``(frame, row count, whether any series is cut)``; the frame has
+    ``_hg_blk``, which is null for the rows of series that stay whole.
+    ``num_blocks`` cuts every series into about so many blocks instead.
+
+    Sizes come from one partial aggregation.  Only the rows of long series are
+    sketched, and their cuts are checkpointed, since a sketch may differ when
+    it is taken again.  The cuts are broadcast if counted to be few.
+    """
+    from ..session import checkpoint_once
+    limit = 0 if num_blocks else SERIES_ROWS
+    sizes = df.groupBy(*skey).agg(F.count(F.lit(1)).alias("_hg_rows"))
+    total, longest, n_long = sizes.agg(F.sum("_hg_rows"), F.max("_hg_rows"), F.count_if(F.col("_hg_rows") > limit)).first()
+    if not n_long:
+        return df.withColumn("_hg_blk", F.lit(None).cast("long")), total or 0, False
+    keyed = df.withColumn("_hg_okey", F.coalesce(_order_key_double(df, order_col), F.lit(float("-inf"))))
+    few = (lambda d: F.broadcast(d)) if n_long <= BROADCAST_SERIES else (lambda d: d)
+    probe = keyed.select(*skey, "_hg_okey")
+    if skey:
+        probe = probe.join(few(sizes.where(F.col("_hg_rows") > limit).select(*skey)), list(skey), "left_semi")
+    k = SERIES_BOUNDS
+    sketch = probe.groupBy(*skey).agg(F.count(F.lit(1)).alias("_hg_n"), F.min("_hg_okey").alias("lo"), F.max("_hg_okey").alias("hi"),
+                                      F.percentile_approx("_hg_okey", [i / k for i in range(1, k)], 10 * k).alias("q"))
+    bounds = F.array_sort(F.array_distinct(F.concat(F.array("lo"), F.coalesce("q", F.array().cast("array<double>")), F.array("hi"))))
+    blocks = F.lit(num_blocks) if num_blocks else F.ceil(F.col("_hg_n") / BLOCK_ROWS)
+    cuts = checkpoint_once(sketch.select(*skey, bounds.alias("_hg_bounds"), F.greatest(F.ceil(blocks / k), F.lit(1)).cast("long").alias("_hg_cuts")))
+    if skey:
+        joined = keyed.join(few(cuts), list(skey), "left")
+    else:
+        one = cuts.first()
+        joined = keyed.withColumn("_hg_bounds", F.lit(one["_hg_bounds"])).withColumn("_hg_cuts", F.lit(one["_hg_cuts"]))
+    # range r holds the keys from bound r on, up to bound r + 1 (counted from 1)
+    key = F.col("_hg_okey")
+    r = F.size(F.filter("_hg_bounds", lambda b: b <= key))
+    lo, hi = F.get("_hg_bounds", r - 1), F.get("_hg_bounds", r)
+    part = F.try_divide(key - lo, hi - lo)
+    sub = F.when((part >= 0) & (part < 1), F.floor(part * F.col("_hg_cuts"))).otherwise(0)
+    out = joined.withColumn("_hg_blk", r.cast("long") * F.col("_hg_cuts") + sub.cast("long"))
+    return out.drop("_hg_okey", "_hg_bounds", "_hg_cuts"), total, True
 
 
 def block_offsets(counts: DataFrame, series: Sequence[str], n_col: str = "_hg_n") -> DataFrame:
     """``_hg_off``: rows of the series in earlier blocks, for each row of ``counts``.
 
-    Without a series the sum has two levels, over spans of blocks and inside
-    each span, so that the window without a key sees one row per span."""
-    if series:
-        w = Window.partitionBy(*series).orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
-        return counts.withColumn("_hg_off", F.coalesce(F.sum(n_col).over(w), F.lit(0)))
-    spanned = counts.withColumn("_hg_span", F.floor(F.col("_hg_blk") / F.lit(1024)))
-    w = Window.orderBy("_hg_span").rowsBetween(UNB_PREC, -1)
-    before = spanned.groupBy("_hg_span").agg(F.sum(n_col).alias("_hg_t")).select(
-        "_hg_span", F.coalesce(F.sum("_hg_t").over(w), F.lit(0)).alias("_hg_before"))
-    w = Window.partitionBy("_hg_span").orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
+    The sum has two levels, over spans of ``SPAN`` blocks and inside each span,
+    so that no window sees all blocks of a series."""
+    spanned = counts.withColumn("_hg_span", F.floor(F.col("_hg_blk") / F.lit(SPAN)))
+    w = Window.partitionBy(*series).orderBy("_hg_span").rowsBetween(UNB_PREC, -1)
+    before = spanned.groupBy(*series, "_hg_span").agg(F.sum(n_col).alias("_hg_t")).select(
+        *series, "_hg_span", F.coalesce(F.sum("_hg_t").over(w), F.lit(0)).alias("_hg_before"))
+    w = Window.partitionBy(*series, "_hg_span").orderBy("_hg_blk").rowsBetween(UNB_PREC, -1)
     inside = spanned.withColumn("_hg_off", F.coalesce(F.sum(n_col).over(w), F.lit(0)))
-    out = inside.join(before, "_hg_span").withColumn("_hg_off", F.col("_hg_off") + F.col("_hg_before"))
+    out = inside.join(before, [*series, "_hg_span"]).withColumn("_hg_off", F.col("_hg_off") + F.col("_hg_before"))
     return out.drop("_hg_span", "_hg_before")
 
 
 def with_position(df: DataFrame, order_cols: Sequence[str] | str,
                   series_cols: Sequence[str] | str | None = None,
-                  pos_col: str = "pos", num_blocks: int | None = None, with_count: bool = False,
-                  block_seconds: float = BLOCK_SECONDS):
+                  pos_col: str = "pos", num_blocks: int | None = None, with_count: bool = False):
     """Add a dense 0-based position per series in ``order_cols`` order.
 
-    Rows are cut into blocks of the first order column's global range
-    (:func:`order_blocks`), numbered inside ``(series, block)`` and shifted
-    by the prefix-summed row counts of the series' earlier blocks.  A series
-    holding a third of the table is spread over all its blocks.  The numbering
-    window and the join with the offsets share one exchange of the rows.
-
-    A task numbers the rows of one series in ``block_seconds`` (temporal first
-    column; choose less for feeds with many rows a minute) or about
-    ``N / num_blocks`` rows (numeric; the number scales with
-    ``spark.sql.shuffle.partitions``).
+    Series of at most ``SERIES_ROWS`` rows are numbered whole, with one
+    exchange and no join.  Longer ones are cut into blocks
+    (:func:`series_blocks`), numbered inside ``(series, block)`` and shifted by
+    the rows in their earlier blocks, so a series that holds a third of the
+    table is spread over all its blocks.  The numbering window and the join
+    with the offsets share one exchange of the rows.  Rows of a series with
+    equal values of the first order column share a block.
 
     ``order_cols`` must be a total order inside a series (add an id column
     to break ties).  With ``with_count`` returns ``(frame, total_rows)``.
     """
     series = _cols(series_cols)
     order = _cols(order_cols)
-    n = num_blocks or 4 * shuffle_partitions(df.sparkSession)
-    blocked = order_blocks(df, order[0], n, "_hg_blk", with_count, block_seconds)
-    blocked, n_rows = blocked if with_count else (blocked, None)
-    blocked, skey = series_keys(blocked, series)
+    keyed, skey = series_keys(df, series)
+    blocked, n_rows, cut = series_blocks(keyed, order[0], skey, num_blocks)
+    if not cut:
+        number = F.row_number().over(Window.partitionBy(*skey).orderBy(*order)) - 1
+        out = keyed.withColumn("_hg_pos", number.cast("long")).select(*df.columns, F.col("_hg_pos").alias(pos_col))
+        return (out, n_rows) if with_count else out
+    blocked = blocked.withColumn("_hg_blk", F.coalesce("_hg_blk", F.lit(-1)))
     keys = [*skey, "_hg_blk"]
     d = blocked.withColumn("_hg_loc", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
     # block sizes by map-side partial aggregation: the shuffle carries one
-    # row per (series, block) per mapper, and column pruning reads only keys
-    counts = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hg_n"))
-    out = d.join(block_offsets(counts, skey).drop("_hg_n"), keys)
-    out = out.select(*df.columns, (F.col("_hg_off") + F.col("_hg_loc")).cast("long").alias(pos_col))
+    # row per block of a long series per mapper, and reads only the keys
+    counts = blocked.where("_hg_blk >= 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("_hg_n"))
+    out = d.join(block_offsets(counts, skey).drop("_hg_n"), keys, "left")
+    out = out.select(*df.columns, (F.coalesce("_hg_off", F.lit(0)) + F.col("_hg_loc")).cast("long").alias(pos_col))
     return (out, n_rows) if with_count else out
 
 
@@ -314,76 +338,69 @@ def _bucketed(df: DataFrame, pos_col: str, B: int) -> DataFrame:
     return df.withColumn(_BUCKET, F.expr(f"{pos_col} div {B}"))
 
 
+def carried(stats: DataFrame, skey: Sequence[str], order_col: str, last: Sequence[str] = (),
+            first: Sequence[str] = ()) -> DataFrame:
+    """For each row of ``stats``, the greatest of each ``last`` column in earlier rows of the
+    series, and the least of each ``first`` column in later rows.
+
+    A scan of two levels: within spans of ``SPAN`` rows, and over the spans."""
+    s = stats.withColumn("_hg_span", F.floor(F.col(order_col) / F.lit(SPAN)))
+    spans = s.groupBy(*skey, "_hg_span").agg(*[F.max(c).alias(c) for c in last], *[F.min(c).alias(c) for c in first])
+    w = Window.partitionBy(*skey).orderBy("_hg_span")
+    far = spans.select(*skey, "_hg_span", *[F.max(c).over(w.rowsBetween(UNB_PREC, -1)).alias(f"{c}_far") for c in last],
+                       *[F.min(c).over(w.rowsBetween(1, UNB_FOLL)).alias(f"{c}_far") for c in first])
+    w = Window.partitionBy(*skey, "_hg_span").orderBy(order_col)
+    near = s.select(*skey, "_hg_span", order_col, *[F.max(c).over(w.rowsBetween(UNB_PREC, -1)).alias(c) for c in last],
+                    *[F.min(c).over(w.rowsBetween(1, UNB_FOLL)).alias(c) for c in first])
+    return near.join(far, [*skey, "_hg_span"]).select(*skey, order_col, *[F.greatest(c, f"{c}_far").alias(c) for c in last],
+                                                      *[F.least(c, f"{c}_far").alias(c) for c in first])
+
+
+def _with_neighbours(df: DataFrame, cols: Sequence[str], series: Sequence[str], pos_col: str, B: int):
+    """The rows with ``_l<i>`` / ``_f<i>``: the last (position, value) of column i in earlier buckets
+    of the series, the first in later ones; and the window of a bucket."""
+    d, skey = series_keys(_bucketed(df, pos_col, B), series)
+    aggs = []
+    for i, c in enumerate(cols):
+        pv = F.when(F.col(c).isNotNull(), F.struct(F.col(pos_col).alias("p"), F.col(c).alias("v")))
+        aggs += [F.max(pv).alias(f"_l{i}"), F.min(pv).alias(f"_f{i}")]
+    keys = [*skey, _BUCKET]
+    carry = carried(d.groupBy(*keys).agg(*aggs), skey, _BUCKET, [f"_l{i}" for i, _ in enumerate(cols)], [f"_f{i}" for i, _ in enumerate(cols)])
+    return d.join(carry, keys), Window.partitionBy(*keys).orderBy(pos_col)
+
+
 def fill_forward_backward(df: DataFrame, cols: Sequence[str], series_cols=None,
                           pos_col: str = "pos", backward: bool = True,
                           bucket_size: int | None = None) -> DataFrame:
     """``ffill()`` then (optionally) ``bfill()`` per series, by position."""
-    series = _cols(series_cols)
-    B = bucket_size or DEFAULT_BUCKET
-    d = _bucketed(df, pos_col, B)
-    pos = F.col(pos_col)
-    stats_aggs = []
+    j, wb = _with_neighbours(df, cols, _cols(series_cols), pos_col, bucket_size or DEFAULT_BUCKET)
+    outs = {}
     for i, c in enumerate(cols):
-        pv = F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v")))
-        stats_aggs += [F.max(pv).alias(f"_l{i}"), F.min(pv).alias(f"_f{i}")]
-    stats = d.groupBy(*series, _BUCKET).agg(*stats_aggs)
-    ws = _series_window(series).orderBy(_BUCKET)
-    carry_cols = []
-    for i, _ in enumerate(cols):
-        carry_cols.append(F.last(f"_l{i}", True).over(ws.rowsBetween(UNB_PREC, -1))
-                           .getField("v").alias(f"_pl{i}"))
+        filled = F.coalesce(F.col(c), F.last(F.col(c), True).over(wb.rowsBetween(UNB_PREC, 0)), F.col(f"_l{i}").getField("v"))
         if backward:
-            carry_cols.append(F.first(f"_f{i}", True).over(ws.rowsBetween(1, UNB_FOLL))
-                               .getField("v").alias(f"_nf{i}"))
-    carry = stats.select(*series, _BUCKET, *carry_cols)
-    j = _null_safe_join(d, carry, series + [_BUCKET], "left")
-    wb = Window.partitionBy(*series, _BUCKET).orderBy(pos_col)
-    outs = []
-    for i, c in enumerate(cols):
-        filled = F.coalesce(F.col(c), F.last(F.col(c), True).over(wb.rowsBetween(UNB_PREC, 0)),
-                            F.col(f"_pl{i}"))
-        if backward:
-            filled = F.coalesce(filled, F.first(F.col(c), True).over(wb.rowsBetween(0, UNB_FOLL)),
-                                F.col(f"_nf{i}"))
-        outs.append(filled.alias(c))
-    keep = [c for c in df.columns if c not in cols]
-    res = j.select(*keep, *outs)
-    return res.select(*df.columns)
+            filled = F.coalesce(filled, F.first(F.col(c), True).over(wb.rowsBetween(0, UNB_FOLL)), F.col(f"_f{i}").getField("v"))
+        outs[c] = filled.alias(c)
+    return j.select(*[outs.get(c, F.col(c)) for c in df.columns])
 
 
 def interpolate_linear(df: DataFrame, cols: Sequence[str], series_cols=None,
                        pos_col: str = "pos", bucket_size: int | None = None) -> DataFrame:
     """Linear interpolation by row position; trailing gaps take the last value,
     leading gaps stay NULL (pandas ``interpolate()`` defaults)."""
-    series = _cols(series_cols)
-    B = bucket_size or DEFAULT_BUCKET
-    d = _bucketed(df, pos_col, B)
+    j, wb = _with_neighbours(df, cols, _cols(series_cols), pos_col, bucket_size or DEFAULT_BUCKET)
     pos = F.col(pos_col)
-    aggs = []
-    for i, c in enumerate(cols):
-        pv = F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v")))
-        aggs += [F.max(pv).alias(f"_l{i}"), F.min(pv).alias(f"_f{i}")]
-    stats = d.groupBy(*series, _BUCKET).agg(*aggs)
-    ws = _series_window(series).orderBy(_BUCKET)
-    carry = stats.select(*series, _BUCKET, *[
-        x for i, _ in enumerate(cols) for x in (
-            F.last(f"_l{i}", True).over(ws.rowsBetween(UNB_PREC, -1)).alias(f"_pl{i}"),
-            F.first(f"_f{i}", True).over(ws.rowsBetween(1, UNB_FOLL)).alias(f"_nf{i}"))])
-    j = _null_safe_join(d, carry, series + [_BUCKET], "left")
-    wb = Window.partitionBy(*series, _BUCKET).orderBy(pos_col)
-    outs = []
+    outs = {}
     for i, c in enumerate(cols):
         pv = F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v")))
-        prev = F.coalesce(F.last(pv, True).over(wb.rowsBetween(UNB_PREC, 0)), F.col(f"_pl{i}"))
-        nxt = F.coalesce(F.first(pv, True).over(wb.rowsBetween(0, UNB_FOLL)), F.col(f"_nf{i}"))
+        prev = F.coalesce(F.last(pv, True).over(wb.rowsBetween(UNB_PREC, 0)), F.col(f"_l{i}"))
+        nxt = F.coalesce(F.first(pv, True).over(wb.rowsBetween(0, UNB_FOLL)), F.col(f"_f{i}"))
         slope = (nxt.getField("v") - prev.getField("v")) / (nxt.getField("p") - prev.getField("p"))
         val = (F.when(F.col(c).isNotNull(), F.col(c))
                 .when(prev.isNotNull() & nxt.isNotNull(),
                       slope * (pos - prev.getField("p")) + prev.getField("v"))
                 .when(prev.isNotNull(), prev.getField("v")))
-        outs.append(val.alias(c))
-    keep = [c for c in df.columns if c not in cols]
-    return j.select(*keep, *outs).select(*df.columns)
+        outs[c] = val.alias(c)
+    return j.select(*[outs.get(c, F.col(c)) for c in df.columns])
 
 
 def running_period_max(df: DataFrame, col: str, period_cols: Sequence[str], name: str,
@@ -393,16 +410,13 @@ def running_period_max(df: DataFrame, col: str, period_cols: Sequence[str], name
     the whole series (so the first row of a period sees the previous period's
     maximum).  A NULL input row has a NULL running max, as in pandas."""
     series = _cols(series_cols)
-    period = _cols(period_cols)
     B = bucket_size or DEFAULT_BUCKET
-    d = _bucketed(df, pos_col, B)
-    stats = d.groupBy(*series, *period, _BUCKET).agg(F.max(col).alias("_m"))
-    wc = Window.partitionBy(*series, *period).orderBy(_BUCKET).rowsBetween(UNB_PREC, -1)
-    carry = stats.select(*series, *period, _BUCKET, F.max("_m").over(wc).alias("_cm"))
-    j = _null_safe_join(d, carry, series + period + [_BUCKET], "left")
-    wl = Window.partitionBy(*series, *period, _BUCKET).orderBy(pos_col).rowsBetween(UNB_PREC, 0)
+    d, skey = series_keys(_bucketed(df, pos_col, B), [*series, *_cols(period_cols)])
+    keys = [*skey, _BUCKET]
+    carry = carried(d.groupBy(*keys).agg(F.max(col).alias("_cm")), skey, _BUCKET, ["_cm"])
+    wl = Window.partitionBy(*keys).orderBy(pos_col).rowsBetween(UNB_PREC, 0)
     cm = F.when(F.col(col).isNotNull(), F.greatest(F.max(col).over(wl), F.col("_cm")))
-    staged = j.withColumn("_hg_cummax", cm).drop(_BUCKET, "_cm")
+    staged = d.join(carry, keys).withColumn("_hg_cummax", cm).select(*df.columns, "_hg_cummax")
     if shift == 0:
         return staged.withColumnRenamed("_hg_cummax", name)
     out = halo_windows(staged, [Lag("_hg_cummax", shift, name)], series, pos_col, B)

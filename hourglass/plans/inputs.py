@@ -99,3 +99,28 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_regimes(df: DataFrame, prc_col: str = "prc", pred_col: str = "pred_prc") -> DataFrame:
     return df.withColumn("regime", regime(prc_col)).withColumn("pred_regime", regime(pred_col))
+
+
+#: Further feeds of the market table, as SQL over the hourly table (the same text in both engines).
+MARKET_FEEDS = {
+    "wind_forecast": "wind * 0.9D + 3.0D",
+    "wind_system": "wind + zone_click",
+    "solar": "zone_signup",
+    "solar_forecast": "zone_signup * 1.1D - 2.0D",
+    "solar_capacity": "CASE WHEN hour(ts) % 7 = 0 THEN NULL ELSE zone_view END",
+    "load_forecast": "load_total + zone_view - zone_click",
+    "dam_system": "(dam + rt) / 2.0D",
+    "temperature": "rt / 2.0D + hub_load / 100.0D",
+    "adder_reserve": "greatest(rt - 50.0D, 0.0D)",
+    "adder_offline": "greatest(rt - 55.0D, 0.0D)",
+    "adder_reliability": "CASE WHEN day(ts) > 20 THEN greatest(rt - 60.0D, 0.0D) END",
+}
+
+
+def market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table with all feeds, delivered by two sources: the first (rank 0)
+    lacks every fifth hour, the second (rank 1) has all hours and other prices."""
+    h = hourly(spark, sf_dir)
+    full = h.select("*", *[F.expr(e).alias(c) for c, e in MARKET_FEEDS.items()])
+    first = full.where(F.hour("ts") % 5 != 0).withColumn("source_rank", F.lit(0))
+    return first.unionByName(full.withColumn("rt", F.col("rt") + 1000.0).withColumn("source_rank", F.lit(1)))

@@ -25,17 +25,36 @@ WARMUP_ROWS = 168
 def model_ready(df: DataFrame, ts: str = "ts", series_cols: Sequence[str] = (), price: str = "rt",
                 dam: str = "dam", prc: str = "prc", load: str = "load_total", hub_load: str = "hub_load",
                 wind: str = "wind", wind_cap: float = N.CAP_WIND_WEST, era_cutoff: str = "2025-12-05",
-                start: str = "2021-01-01", warmup: int = WARMUP_ROWS) -> DataFrame:
+                start: str = "2021-01-01", warmup: int = WARMUP_ROWS, source_rank: str | None = None,
+                feeds: dict[str, str] | None = None) -> DataFrame:
+    """The feature table.
+
+    ``source_rank`` names a column: of the rows of one (series, ts) the one with
+    the least rank stays (the first source wins) and the column is dropped.
+    ``feeds`` names the columns of further feeds (:data:`FEEDS`); the features
+    of each one that is given are added.
+    """
     series = list(series_cols)
+    feed = dict(feeds or {})
+    if unknown := set(feed) - set(FEEDS):
+        raise ValueError(f"unknown feeds: {sorted(unknown)}")
     # quality: one row per (series, ts), capped outliers, filled prices/loads,
     # rows without PRC or wind dropped, spread recomputed
     # duplicates are told apart by all other columns, so reruns keep the same row
-    rest = [c for c, kind in df.dtypes if c not in (*series, ts) and not kind.startswith("map")]
-    d = DD.keep_first(df, [*series, ts], rest or [ts])
+    rest = [c for c, kind in df.dtypes if c not in (*series, ts, source_rank) and not kind.startswith("map")]
+    order = [source_rank, *rest] if source_rank else rest
+    d = DD.keep_first(df, [*series, ts], order or [ts])
+    d = d.drop(source_rank) if source_rank else d
     d = d.withColumn(wind, N.cap_to_null(wind, wind_cap))
+    for name, cap in (("solar", N.CAP_SOLAR_SYSTEM), ("wind_system", N.CAP_WIND_SYSTEM)):
+        if name in feed:
+            d = d.withColumn(feed[name], N.cap_to_null(feed[name], cap))
     d = S.with_position(d, [ts], series, "_p0")
-    d = S.fill_forward_backward(d, [price, dam, hub_load, load], series, "_p0").drop("_p0")
-    d = d.na.drop(subset=[prc, wind]).withColumn("spread", F.col(price) - F.col(dam))
+    filled = [price, dam, hub_load, load] + [feed[x] for x in ("solar_capacity",) if x in feed]
+    d = S.fill_forward_backward(d, filled, series, "_p0").drop("_p0")
+    d = d.na.drop(subset=[prc, wind] + [feed[x] for x in ("solar",) if x in feed]).withColumn("spread", F.col(price) - F.col(dam))
+    if "dam_system" in feed:
+        d = d.withColumn("dam_congestion_spread", F.col(dam) - F.col(feed["dam_system"]))
     # calendar
     cal = T.calendar_columns(ts)
     cyc = T.cyclic_hour(F.hour(ts))
@@ -58,6 +77,10 @@ def model_ready(df: DataFrame, ts: str = "ts", series_cols: Sequence[str] = (),
         for n in (6, 24):
             specs += [S.Rolling(c, n, "mean", f"{c}_roll_mean_{n}h"), S.Rolling(c, n, "std", f"{c}_roll_std_{n}h")]
     specs += [S.Diff(c, f"{c}_ramp") for c in (load, hub_load, wind, price)]
+    if "wind_system" in feed:
+        specs.append(S.Diff(feed["wind_system"], "wind_system_ramp"))
+    if "temperature" in feed:
+        specs.append(S.Rolling(feed["temperature"], 3, "max", "temp_roll_3h_max"))
     d = S.halo_windows(d, specs, series, "pos")
     # engineered ratios and peak-season features
     d = d.select("*",
@@ -68,5 +91,28 @@ def model_ready(df: DataFrame, ts: str = "ts", series_cols: Sequence[str] = (),
                  (T.in_season("month") * T.in_hour_window("hour")).alias("is_4cp_window"),
                  N.safe_ratio(load, "monthly_load_max").alias("load_vs_monthly_max"),
                  (F.col(load) - F.col("monthly_load_max")).alias("load_above_monthly_max"),
-                 N.regime(prc).alias("regime"))
+                 N.regime(prc).alias("regime"), *_feed_features(feed, hub_load, load, wind))
     return S.position_filter(d, warmup, "pos")
+
+
+#: what ``feeds`` may name
+FEEDS = ("wind_forecast", "wind_system", "solar", "solar_forecast", "solar_capacity", "load_forecast", "dam_system", "temperature",
+         "adder_reserve", "adder_offline", "adder_reliability")
+
+
+def _feed_features(feed: dict[str, str], hub_load: str, load: str, wind: str) -> list:
+    """Forecast errors, net loads, renewable shares, compressed adders and the forecast against the running peak."""
+    has = lambda *names: all(n in feed for n in names)
+    col = lambda name: F.col(feed[name])
+    out = [(F.col(hub_load) - F.col(wind)).alias("net_load_west")] if feed else []
+    if has("wind_forecast"):
+        out.append((F.col(wind) - col("wind_forecast")).alias("wind_forecast_error"))
+    if has("solar", "solar_forecast"):
+        out.append((col("solar") - col("solar_forecast")).alias("solar_forecast_error"))
+    if has("wind_system", "solar"):
+        out.append((F.col(load) - col("wind_system") - col("solar")).alias("net_load_system"))
+        out.append(N.safe_ratio(col("wind_system") + col("solar"), load).alias("renewable_pct_system"))
+    if has("load_forecast"):
+        out.append(N.safe_ratio(feed["load_forecast"], "monthly_load_max").alias("load_fcst_vs_monthly_max"))
+    out += [F.log1p(col(a)).alias(f"{a}_log1p") for a in ("adder_reserve", "adder_offline", "adder_reliability") if has(a)]
+    return out

@@ -394,8 +394,9 @@ GROUP BY best.s, best.t, best.sv""", _pairs_sql(),
 @q("calibrated_fold_backtest", _calibrated_sql())
 def calibrated_fold_backtest(spark, sf):
     iv = I.intervals(spark, sf).drop("pos")
-    g, n = S.positioned_for_reuse(iv, ["ts", "event_id"], None, "gpos")
-    return B.calibrated_fold_backtest(g, "gpos", n, "pred_prc", "rt", "mining")
+    order = ["ts", "event_id"]
+    edge, _ = FO.boundary_keys(I.events(spark, sf), order, lambda n: [n // 2])       # the same rows
+    return B.calibrated_fold_backtest(iv.withColumn("half", FO.part_of(iv, order, edge)), "half", 2, "pred_prc", "rt", "mining")
 
 
 # ===========================================================================
@@ -504,9 +505,8 @@ def f1_weighted(spark, sf):
 
 
 def _folded(spark, sf):
-    iv = _iv(spark, sf).drop("pos")
-    g, n = S.positioned_for_reuse(iv, ["ts", "event_id"], None, "gpos")
-    return g.withColumn("fold", FO.test_fold("gpos", n, 4)).where(F.col("fold").isNotNull())
+    g, _ = FO.time_folds(_iv(spark, sf).drop("pos"), ["ts", "event_id"], 4, keys=I.events(spark, sf))       # the same rows
+    return g.where(F.col("fold") > 0)
 
 
 _FOLD_SQL = ("fd AS (SELECT *, CAST(floor((gpos - (n - 4 * (n // 5))) / (n // 5)) + 1 AS INTEGER) AS fold "

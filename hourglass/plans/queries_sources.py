@@ -134,13 +134,22 @@ def sink_parquet(spark, sf):
 
 @q("sort_by_time", H("SELECT ts, rt FROM hourly"))
 def sort_by_time(spark, sf):
-    """Sorting happens only inside partitions at write time."""
-    h = I.hourly(spark, sf).select("ts", "rt")
+    """The sorted landing read back."""
     path = scratch_dir(spark, "sorted")
-    sinks.sink_parquet(h.repartition(4, F.to_date("ts")), path, sort_within=["ts"])
+    sinks.sink_sorted(I.hourly(spark, sf).select("ts", "rt"), path, ["ts"])
     return spark.read.parquet(path)
 
 
+@q("sorted_landing", "SELECT count(*) AS n_rows, true AS rows_in_order, true AS files_disjoint FROM events")
+def sorted_landing(spark, sf):
+    """Every event in files by time; the manifest tells whether the files are disjoint and each one is in order."""
+    path = scratch_dir(spark, "sorted-events")
+    ev = I.events(spark, sf)
+    size = max(1, sinks.estimated_bytes(ev) // 6)
+    sinks.sink_sorted(ev, path, ["ts", "event_id"], min(size, sinks.FILE_BYTES))      # several files at any size
+    return sinks.sorted_verdict(sinks.sorted_manifest(spark, path, ["ts", "event_id"]))
+
+
 # ---------------------------------------------------------------------------
 # single-operator views
 # ---------------------------------------------------------------------------

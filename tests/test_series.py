@@ -59,6 +59,92 @@ def test_time_blocks_with_two_level_offsets(spark):
     assert list(pos.i) == [r.i for r in df.orderBy("ts", "i").collect()]
 
 
+@pytest.mark.parametrize("series", [[], ["s"]])
+def test_a_long_hourly_series_gives_a_small_table_of_blocks(spark, series):
+    n = 200_000
+    df = spark.range(n).select(F.expr("TIMESTAMP_NTZ '1990-01-01 00:00:00' + make_dt_interval(0, cast(id as int))").alias("ts"),
+                               F.when(F.col("id") % 1000 == 1, None).otherwise(F.lit("hot")).alias("s"), "id")
+    keyed, skey = S.series_keys(df, series)
+    blocked, total, cut = S.series_blocks(keyed, "ts", skey)
+    assert cut and total == n
+    blocks = blocked.where("_hg_blk IS NOT NULL").groupBy(*skey, "_hg_blk").count()
+    sizes = [r["count"] for r in blocks.collect()]
+    assert len(sizes) <= 64 and max(sizes) <= S.SERIES_ROWS          # 16 blocks are aimed at; one row per hour before
+    assert blocked.where("_hg_blk IS NULL").count() == (200 if series else 0)      # the short series stays whole
+    out = S.with_position(df, ["ts"], series, "pos")
+    want = F.when(F.col("id") % 1000 == 1, F.expr("id div 1000")).otherwise(F.expr("id - (id + 998) div 1000")) if series else F.col("id")
+    assert out.count() == n and out.where(F.col("pos") != want).count() == 0
+
+
+def test_uneven_series_are_cut_by_their_own_quantiles(spark, monkeypatch):
+    monkeypatch.setattr(S, "SERIES_ROWS", 400)
+    monkeypatch.setattr(S, "BLOCK_ROWS", 50)
+    rng = random.Random(4)
+    rows = [(s, rng.lognormvariate(0, 3) if s else rng.uniform(0, 1), i) for i, s in enumerate(rng.choices((0, 1, 2, None), (50, 40, 1, 9), k=6000))]
+    df = _df(spark, rows, "s int, v double, i long")
+    keyed, skey = S.series_keys(df, ["s"])
+    blocked, _, cut = S.series_blocks(keyed, "v", skey)
+    sizes = blocked.where("_hg_blk IS NOT NULL").groupBy("s", "_hg_blk").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert cut and sizes[0] <= 400 and sizes[1] <= 2 * 6000 / 50 + 4 * S.SERIES_BOUNDS
+    want = {}
+    for s in (0, 1, 2, None):
+        for p, (_, i) in enumerate(sorted((v, i) for s_, v, i in rows if s_ == s)):
+            want[i] = p
+    assert {r.i: r.pos for r in S.with_position(df, ["v", "i"], ["s"], "pos").collect()} == want
+
+
+def test_scans_of_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(S, "SPAN", 3)
+    monkeypatch.setattr(S, "SERIES_ROWS", 20)
+    monkeypatch.setattr(S, "BLOCK_ROWS", 2)
+    rng = random.Random(8)
+    rows = [(s, i, rng.uniform(0, 9) if rng.random() < 0.2 else None) for s in ("a", None) for i in range(150)]
+    df = _df(spark, rows, "s string, t long, v double")
+    p = S.with_position(df, ["t"], ["s"], "pos")
+    assert all(r.pos == r.t for r in p.collect())
+    out = S.fill_forward_backward(p, ["v"], ["s"], "pos", bucket_size=4).toPandas()
+    lin = S.interpolate_linear(p, ["v"], ["s"], "pos", bucket_size=4).toPandas()
+    for key in ("a", None):
+        own = pd.Series([v for s, _, v in rows if s == key], dtype=float)
+        pick = lambda d: (d[d.s == key] if key else d[d.s.isna()]).sort_values("t").v.astype(float).tolist()
+        assert pick(out) == own.ffill().bfill().tolist()
+        np.testing.assert_allclose(pick(lin), own.interpolate())
+    from hourglass.operators import joins as J
+    left = _df(spark, [(s, 10 * i, i) for s in ("a", None) for i in range(60)], "s string, t long, lid long")
+    right = _df(spark, [(s, rng.randrange(600), i, float(i)) for s in ("a", None) for i in range(50)], "s string, t long, rid long, x double")
+    got = {(r.s, r.t): r.x for r in J.asof_backward(left, right, "t", ["s"], ["x"], "lid", "rid").collect()}
+    for (s, t), x in got.items():
+        best = max(((r.t, r.rid, r.x) for r in right.collect() if r.s == s and r.t <= t), default=(None, None, None))
+        assert x == best[2]
+
+
+def test_quantiles_of_many_columns_at_once(spark, monkeypatch):
+    from hourglass.operators import quantiles as Q
+    rng = random.Random(2)
+    n = 3000
+    cols = {"uniform": [rng.random() for _ in range(n)], "heavy": [math.exp(rng.uniform(-600, 600)) for _ in range(n)],
+            "ties": [float(rng.choice((0, 0, 0, 1, 7))) for _ in range(n)], "one": [5.0] * n, "none": [None] * n,
+            "few": [float(i) if i < 3 else None for i in range(n)], "edges": [float("inf") if i < 5 else float("-inf") if i < 9 else -0.5 * i for i in range(n)],
+            "ints": [rng.randrange(-5, 40) for _ in range(n)]}
+    names = list(cols)
+    df = _df(spark, list(zip(*cols.values())), ", ".join(f"{c} {'long' if c == 'ints' else 'double'}" for c in names))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.77, 0.999, 1.0]
+    for accuracy, few in ((Q.ACCURACY, Q.FEW), (40, 5)):              # rough sketches need more passes
+        monkeypatch.setattr(Q, "ACCURACY", accuracy)
+        monkeypatch.setattr(Q, "FEW", few)
+        got = Q.column_quantiles(df, names, probs)
+        for c, v in cols.items():
+            v = [x for x in v if x is not None]
+            assert got[c]["count"] == len(v)
+            if not v:
+                assert got[c]["q"] == [None] * len(probs)
+                continue
+            s = sorted(v)
+            want = [s[int((len(s) - 1) * p)] + ((s[min(int((len(s) - 1) * p) + 1, len(s) - 1)] - s[int((len(s) - 1) * p)]) * ((len(s) - 1) * p - int((len(s) - 1) * p))
+                                                if s[min(int((len(s) - 1) * p) + 1, len(s) - 1)] != s[int((len(s) - 1) * p)] else 0) for p in probs]
+            np.testing.assert_allclose(got[c]["q"], want, rtol=1e-12)
+
+
 def test_quantiles_with_one_frequent_value(spark):
     from hourglass.operators.aggregate import exact_quantiles
     vals = [0.0] * 4000 + [float(i) ** 1.5 for i in range(1, 1001)]

@@ -81,3 +81,16 @@ def test_model_with_metadata_roundtrip(spark, tmpdir_path):
     m2, meta = sinks.load_model_metadata(spark, f"{tmpdir_path}/m", PipelineModel)
     assert meta["features"] == ["x"]
     assert m2.transform(df).agg(F.max(F.abs(F.col("prediction") - F.col("y")))).first()[0] < 1e-9
+
+
+def test_sorted_landing_is_sorted_and_disjoint(spark, tmpdir_path):
+    from hourglass.sources import sinks
+    df = spark.range(5000).select((F.col("id") * 7919 % 997).alias("k"), "id")
+    sinks.sink_sorted(df, tmpdir_path + "/a", ["k", "id"], file_bytes=8000)
+    manifest = sinks.sorted_manifest(spark, tmpdir_path + "/a", ["k", "id"])
+    assert manifest.count() > 3
+    assert tuple(sinks.sorted_verdict(manifest).first()) == (5000, True, True)
+    df.repartition(3).write.parquet(tmpdir_path + "/b")                      # neither in order nor disjoint
+    assert tuple(sinks.sorted_verdict(sinks.sorted_manifest(spark, tmpdir_path + "/b", ["k", "id"])).first()) == (5000, False, False)
+    df.repartition(3).sortWithinPartitions("k", "id").write.parquet(tmpdir_path + "/c")
+    assert tuple(sinks.sorted_verdict(sinks.sorted_manifest(spark, tmpdir_path + "/c", ["k", "id"])).first()) == (5000, True, False)
