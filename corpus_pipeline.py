@@ -3,6 +3,12 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns the rows that the next stage works on.  All but the last return the
 columns of ``documents``.
+
+Defined results: a null text counts as empty, has no words, and goes with the
+quality rules; a null doc_id, lang or source is a value like others; repeated
+rows of one id and text count once from the exact dedup on, and as often as the
+mix takes them after the mixing; empty tables give an empty result; other
+columns are carried along under any name.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact), ("near_dedup", near), ("source_mixing", mix_sources), ("bpe", encode)]
 
-#: SQL cannot express learned cutoffs, seeded choices and the tokenizer; the tests compare with brute force.
+#: SQL cannot express learned cutoffs, seeded choices and the tokenizer; tests/llm/test_pipeline.py compares each stage with plain Python.
 ORACLE_SQL = None
 
 
