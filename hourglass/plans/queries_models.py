@@ -497,23 +497,6 @@ def feature_set_profile(spark, sf):
     return spark.createDataFrame([(m, c, row[f"{c}__n"], row[f"{c}__mean"]) for m, c in pairs], "model string, feature string, n long, mean double")
 
 
-@q("prc_24h_model")
-def prc_24h_model(spark, sf):
-    """M1, 24 hours ahead: least squares on the full set of what is known a day before, tested on the last week."""
-    from ..operators.gramian import expanding_ols
-    d = _market_ready(spark, sf)
-    feats = M.full_feature_set(d, "prc_24h")
-    d = M.complete_rows(d, [*feats, "prc"]).withColumn("part", (~_before("ts", TRAIN_END)).cast("int"))
-    (_, n, rank, beta), = expanding_ols(d, F.col("part"), 1, feats, "prc")
-    if n == 0:
-        return spark.createDataFrame([], "n_train long, rank int, n_test long, mae double, target_recall double")
-    fitted = sum((F.col(c).cast("double") * float(b) for c, b in zip(feats, beta[1:])), F.lit(float(beta[0])))
-    test = d.where("part = 1").withColumn("pred", fitted)
-    hit = F.count_if((F.col("prc") <= 3000) & (F.col("pred") <= 3000))
-    return test.agg(F.lit(n).cast("long").alias("n_train"), F.lit(rank).alias("rank"), F.count(F.lit(1)).alias("n_test"),
-                    F.avg(F.abs(F.col("prc") - F.col("pred"))).alias("mae"), F.try_divide(hit, F.count_if(F.col("prc") <= 3000)).alias("target_recall"))
-
-
 @q("model_ready", _model_ready_sql())
 def model_ready_table(spark, sf):
     """The full feature table (quality -> calendar -> positional features ->
