@@ -54,10 +54,50 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a key filter for each key, and at most (16 MiB in the driver and each executor).
+FILTER_BITS_A_KEY, FILTER_BITS = 16, 1 << 27
+
+
+def key_filter(keys: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of the column ``h`` (64-bit hashes) of ``n`` rows, as 64-bit words.
+
+    The words are combined in an aggregation; the driver gets the words alone.
+    More keys than fit its greatest size only make it let more rows pass.
+    """
+    bits = 1 << 16
+    while bits < min(FILTER_BITS, n * FILTER_BITS_A_KEY):
+        bits *= 2
+    at = keys.select(F.explode(F.array(F.col("h").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(bits - 1)))).alias("at"))
+    words = at.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold the hashes; no key that it was made of is missed."""
+    h, mask = h.view(np.uint64), np.uint64(len(words) * 64 - 1)
+    ok = np.ones(len(h), bool)
+    for at in (h & mask, (h >> np.uint64(32)) & mask):
+        ok &= (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return ok
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def released(run):
+    """A function of batches that gives its worker's free Arrow memory back at the end of a task; idle workers keep it otherwise."""
+    def wrapped(batches):
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """crc32 of the key's text modulo n; a null key counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -1,8 +1,8 @@
 """Near-duplicates by MinHash with sequential Bayesian verification.
 
 1. Each text becomes the set of its distinct word shingles (64-bit hashes)
-   and a signature of PERMS minima.  Texts with equal sets form a class at
-   once, so copies never meet as pairs.
+   and a signature of PERMS minima, 16 bits of each.  Texts with equal sets form
+   a class at once, so copies never meet as pairs.
 2. Classes that agree in a band of ROWS minima are candidates.  A pair with
    similarity 0.8 agrees in none of the bands with probability 3e-6.
 3. Candidates compare their signatures in batches of STEP minima.  With a
@@ -35,14 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import mix64, ship, written
+from ._shared import key_filter, may_hold, mix64, released, ship, written
 
 BANDS, ROWS = 32, 5
 PERMS = BANDS * ROWS
 #: Minima compared at a time, and the chosen miss probability of the test.
 STEP, MISS = 32, 1e-7
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 1500
+#: Members of a bucket that one task compares with as many others, and bytes of their sets.
+BLOCK, BLOCK_BYTES = 1500, 32 << 20
+#: Keys that are broadcast as they are (16 bytes each).
+LISTED = 2_000_000
 #: Buckets up to this size give their pairs as rows.
 SMALL = 64
 #: Pairs with another component that are verified first.
@@ -64,7 +66,7 @@ class Shingler:
         words = text.encode().lower().split() if text else []  # bytes: A-Z only, and exactly the six spaces
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 200_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         known = self.known
         h = [known.get(w) for w in words]
@@ -81,12 +83,12 @@ class Shingler:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """PERMS minima of seeded permutations of the 32-bit shingle hashes."""
+    """16 bits of each of PERMS minima of seeded permutations of the 32-bit shingle hashes."""
     out = np.full(PERMS, 0xFFFFFFFF, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(x), 2048):
         out = np.minimum(out, ((x[None, i : i + 2048] ^ _C[:, None]) * _A[:, None]).min(axis=1))
-    return out
+    return ((out * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
 def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
@@ -113,7 +115,12 @@ def outlive(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, thresh
 
 
 def _matrix(col) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), "<u4").reshape(-1, PERMS)
+    return np.frombuffer(b"".join(col.to_pylist()), "<u2").reshape(-1, PERMS)
+
+
+def text_key():
+    """Digest of a text as 16 bytes; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
@@ -124,31 +131,32 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
                 n, cid, sig = [], [], []
-                for text in part.column(2).to_pylist():
-                    s = shingle(text)
+                for text in part.column(2):
+                    s = shingle(text.as_py())
                     n.append(len(s))
                     cid.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
-                    sig.append(signature(s).astype("<u4").tobytes() if len(s) else None)
+                    sig.append(signature(s).astype("<u2").tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.binary()), pa.array(sig, pa.binary())],
                                                  names=["doc_id", "text_key", "n", "cid", "sig"])
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key"), "text")
-    return src.mapInArrow(run, "doc_id long, text_key string, n long, cid binary, sig binary")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+    return src.mapInArrow(released(run), "doc_id long, text_key binary, n long, cid binary, sig binary")
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(key, band, cid), BANDS rows a class: the key hashes the band's number and minima."""
+    """(key, cid), BANDS rows a class: the key hashes the band's minima; its last bits are the band's number."""
     def run(batches):
         for batch in batches:
             m = _matrix(batch.column("sig")).astype(np.uint64).reshape(-1, BANDS, ROWS)
-            key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), m.shape[:2])
+            band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), m.shape[:2])
+            key = band
             for i in range(ROWS):
                 key = mix64(key * _MUL + m[:, :, i])
+            key = key // np.uint64(BANDS) * np.uint64(BANDS) + band
             cid = batch.column("cid").take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-            band = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), band, cid], names=["key", "band", "cid"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), cid], names=["key", "cid"])
 
-    return classes.select("cid", "sig").mapInArrow(run, "key long, band int, cid binary")
+    return classes.select("cid", "sig").mapInArrow(released(run), "key long, cid binary")
 
 
 def bayes_test(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -163,7 +171,7 @@ def bayes_test(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
         return classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(released(run), "a binary, b binary")
 
 
 def exact_test(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
@@ -182,23 +190,51 @@ def exact_test(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         return sets.select(F.col("cid").alias(x), F.col("shingles").alias(f"set_{x}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(released(run), "a binary, b binary")
 
 
 def full_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(cid, shingles): the sets of the wanted classes, taken again from one text of each."""
-    one = rows.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("text_key").alias("text_key")).select("text_key").distinct()
+    """(cid, shingles): the sets of the wanted classes, taken again from one text of each.
+
+    The texts stay where they are (``screened``); a set that is let pass in
+    vain finds no class.
+    """
+    one = rows.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select(F.xxhash64("f.doc_id", "f.text_key").alias("h"))
 
     def run(batches):
         shingle = Shingler(k)
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
-                sets = [shingle(t) for t in batch.column(0).slice(lo, 1000).to_pylist()]
+                sets = [shingle(t.as_py()) for t in batch.column(0).slice(lo, 1000)]
                 yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
                                                   pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["cid", "shingles"])
 
-    texts = docs.select("text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")).join(one, "text_key", "left_semi").dropDuplicates(["text_key"])
-    return texts.select("text").mapInArrow(run, "cid binary, shingles binary")
+    named = docs.select("text", F.xxhash64(F.col("doc_id").cast("long"), text_key()).alias("h"))
+    found = screened(named, one, True)[0].select("text").mapInArrow(released(run), "cid binary, shingles binary")
+    return found.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("shingles").alias("shingles"))
+
+
+def screened(named: DataFrame, keys: DataFrame, *sides: bool) -> list[DataFrame]:
+    """The rows of ``named`` whose hash ``h`` is among the keys (True) or is not (False).
+
+    Up to LISTED keys are broadcast.  Beyond that a filter of bounded size is,
+    which may also count rows as listed that are not; no row is moved either way.
+    """
+    held = written(keys.distinct(), "keys")
+    n = held.count()
+    if n <= LISTED:
+        return [named.join(F.broadcast(held), "h", "left_semi" if hits else "left_anti") for hits in sides]
+    words = held.sparkSession.sparkContext.broadcast(key_filter(held, n))
+
+    def side(hits: bool) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                mask = may_hold(words.value, batch.column("h").to_numpy())
+                yield batch.filter(pa.array(mask if hits else ~mask))
+
+        return named.mapInArrow(released(run), named.schema)
+
+    return [side(hits) for hits in sides]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -345,7 +381,7 @@ def _in_groups(sent: DataFrame, find, threshold: float, pct: int) -> DataFrame:
         if kept:
             yield ready(kept)
 
-    return sent.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a binary, b binary").distinct()
+    return sent.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(released(run), "a binary, b binary").distinct()
 
 
 def rest_links(labelled: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float, pct: int) -> DataFrame:
@@ -356,11 +392,13 @@ def rest_links(labelled: DataFrame, classes: DataFrame, sets: DataFrame, thresho
     blocks with their full sets and gives verified links only.
     """
     sizes = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    dealt = labelled.join(sizes, "key").join(classes, "cid").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    dealt = labelled.join(sizes, "key").join(classes, "cid").withColumn("band", F.col("key").bitwiseAND(F.lit(BANDS - 1)).cast("int"))
     one = F.lit(0)
     small = dealt.where(F.col("c") <= SMALL).select("key", one.alias("lo"), one.alias("hi"), "n", "cid", "comp", "sig")
     pairs = written(_in_groups(small, _small_pairs, threshold, pct), "survivors")
-    large = dealt.where(F.col("c") > SMALL).join(sets, "cid").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    large = dealt.where(F.col("c") > SMALL)
+    blocks = large.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    large = large.join(blocks, "key").join(sets, "cid").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     sent = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select("key", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "band", "n", "cid", "comp", "sig", "shingles")
     return exact_test(pairs, sets, pct).unionByName(_in_groups(sent, _large_links, threshold, pct))
@@ -372,17 +410,19 @@ def _verdict(spark: SparkSession, docs: DataFrame, k: int, pct: int) -> DataFram
     threshold = pct / 100
     rows = written(sketches(docs, k), "sketches")
     classes = written(rows.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    every = written(bands(classes), "bands")
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members = written(every.join(shared, "key", "left_semi"), "members")
-    sets = written(full_sets(docs, rows, members.select("cid").distinct(), k), "sets")
+    shared = bands(classes).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    members = written(bands(classes).join(shared, "key", "left_semi"), "members")
+    wanted = members.select("cid").distinct()
+    classes = written(classes.join(wanted, "cid", "left_semi"), "candidates")  # the only ones compared from here on
+    wanted = classes.select("cid")
+    sets = written(full_sets(docs, rows, wanted, k), "sets")
     stars = written(bayes_test(star_pairs(members), classes, threshold), "survivors")
     links = written(exact_test(stars, sets, pct), "links")
     comps = written(components(links), "components")
     more = written(rest_links(open_members(members, comps), classes, sets, threshold, pct), "links")
     before = comps.select(F.col("cid").alias("a"), F.col("comp").alias("b"))
     comps = written(components(more.unionByName(before)), "components")
-    labelled = rows.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    labelled = rows.select("doc_id", "text_key", "n", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = labelled.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return labelled.join(least, "comp", "left").select("doc_id", "text_key", "n", "comp", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
@@ -393,10 +433,22 @@ def near_dups(spark: SparkSession, docs: DataFrame, k: int = 5, pct: int = 80) -
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
-    """One document of each component, with all its columns; texts without words all stay."""
-    v = _verdict(spark, docs.select("doc_id", "text"), k, pct)
+    """One document of each component, with all its columns; texts without words all stay (equal rows of id and text once).
+
+    Most documents stay, and are not moved: only rows whose id and digest go or
+    occur twice meet the exact list (``screened``).
+    """
+    v = written(_verdict(spark, docs.select("doc_id", "text"), k, pct).select("doc_id", "text_key", "comp"), "verdict")
     first = v.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("f")).select("f.doc_id", "f.text_key")
-    stay = first.unionByName(v.where("comp IS NULL").select("doc_id", "text_key")).distinct().toDF("_id", "_text")
-    named = docs.select(F.struct(*docs.columns).alias("row"), F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")).alias("_key"))
-    found = named.join(stay, named["row.doc_id"].eqNullSafe(stay["_id"]) & (named["_key"] == stay["_text"]), "left_semi")
-    return found.withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "_key"]).select("row.*")
+    stay = written(first.unionByName(v.where("comp IS NULL").select("doc_id", "text_key")).distinct(), "stay")
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
+    every = v.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c"))
+    once = every.where("c = 1").select("doc_id", "text_key")
+    doubtful = every.where("c > 1").select("doc_id", "text_key").unionByName(once.join(stay, same(once, stay), "left_anti"))
+    key = F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
+    id_ = docs["doc_id"].cast("long")
+    named = docs.select(F.struct(*docs.columns).alias("row"), id_.alias("_id"), key.alias("_key"), F.xxhash64(id_, key).alias("h"))
+    sure, found = screened(named, doubtful.select(F.xxhash64("doc_id", "text_key").alias("h")), False, True)
+    listed = stay.toDF("_stay_id", "_stay_key")
+    found = found.join(listed, found["_id"].eqNullSafe(listed["_stay_id"]) & (found["_key"] == listed["_stay_key"]), "left_semi").dropDuplicates(["_id", "_key"])
+    return sure.select("row.*").unionByName(found.select("row.*"))

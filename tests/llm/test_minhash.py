@@ -74,7 +74,9 @@ def test_given_documents(spark):
     assert got(spark, docs, 5, 80) == brute(rows, 5, 80)
 
 
-def test_keep_one(spark, make_docs, odd_rows):
+@pytest.mark.parametrize("listed", [M.LISTED, 0])
+def test_keep_one(spark, make_docs, odd_rows, monkeypatch, listed):
+    monkeypatch.setattr(M, "LISTED", listed)
     rows = near_copies(3, 5, 6, 200, 3) + [(1000, None), (1001, " "), (1001, " ")]
     docs = make_docs(rows, extra=True)
     out = M.keep_one(spark, docs, 4, 80)
