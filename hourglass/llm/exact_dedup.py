@@ -110,7 +110,7 @@ def digests(docs: DataFrame, *extra: Column) -> DataFrame:
 
 def buckets(rows: DataFrame) -> DataFrame:
     """One row per digest: number of rows and the row that stays."""
-    best = F.max(F.struct("chars", F.expr("doc_id IS NOT NULL").alias("has_id"), F.expr("-doc_id").alias("neg"))).alias("best")
+    best = F.max(F.struct("chars", F.expr("doc_id IS NOT NULL").alias("has_id"), F.expr("~cast(doc_id as long)").alias("neg"))).alias("best")
     return rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best)
 
 
@@ -180,13 +180,13 @@ def dedup(spark: SparkSession, docs: DataFrame, in_snapshot: Column | None = Non
 
 
 def assemble(docs: DataFrame, rows: DataFrame, groups: DataFrame, clash: DataFrame) -> DataFrame:
-    out = rows.join(groups, "digest").select("doc_id", F.expr("-best.neg").alias("keep_id"), F.col("n").alias("group_size"), F.col("digest").alias("text_sha256"))
+    out = rows.join(groups, "digest").select("doc_id", F.expr("~best.neg").alias("keep_id"), F.col("n").alias("group_size"), F.col("digest").alias("text_sha256"))
     if not clash.isEmpty():
         # different bytes under one digest: group these rows by the bytes themselves
         norm = F.translate(F.coalesce(docs["text"], F.lit("")), SPACES, "")
         apart = digests(docs, norm.alias("norm")).join(clash, "digest", "left_semi")
-        exact = apart.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("chars", F.expr("doc_id IS NOT NULL").alias("has_id"), F.expr("-doc_id").alias("neg"))).alias("best"))
-        redo = apart.join(exact, ["digest", "norm"]).select("doc_id", F.expr("-best.neg").alias("keep_id"), F.col("n").alias("group_size"), F.col("digest").alias("text_sha256"))
+        exact = apart.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("chars", F.expr("doc_id IS NOT NULL").alias("has_id"), F.expr("~cast(doc_id as long)").alias("neg"))).alias("best"))
+        redo = apart.join(exact, ["digest", "norm"]).select("doc_id", F.expr("~best.neg").alias("keep_id"), F.col("n").alias("group_size"), F.col("digest").alias("text_sha256"))
         out = out.join(clash.withColumnRenamed("digest", "text_sha256"), "text_sha256", "left_anti").select(*redo.columns).unionByName(redo)
     return out.select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256")
 

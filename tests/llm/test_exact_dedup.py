@@ -34,6 +34,12 @@ def test_odd_rows(spark, make_docs, odd_rows):
     assert X.dedup(spark, make_docs([])).count() == 0
 
 
+def test_extreme_ids(spark, make_docs):
+    rows = [(-(2**63), "same text"), (2**63 - 1, "same  text"), (0, "same text"), (-(2**63), "other"), (5, "other"), (2**63 - 1, "third"), (None, "third")]
+    assert sorted(str(tuple(r)) for r in X.dedup(spark, make_docs(rows)).collect()) == brute(rows)
+    assert {(r.doc_id, r.text) for r in X.keep_one(spark, make_docs(rows)).collect()} == {(2**63 - 1, "same  text"), (-(2**63), "other"), (2**63 - 1, "third")}
+
+
 @pytest.mark.parametrize("old", ["true", "false", "doc_id % 3 = 0"])
 def test_any_split_into_snapshot_and_batch_gives_the_same(spark, make_docs, old):
     rows = [(i, f"text {i % 37} " + " " * (i % 4)) for i in range(300)]
