@@ -39,6 +39,8 @@ FAMILY = {lang: f for f, langs in FAMILIES.items() for lang in langs}
 DIM = 4096
 #: Bound of the training sample.
 PER_LANG = 1000
+#: Languages whose counts are broadcast; more are joined.
+LANGS = 10_000
 CHUNK = 1 << 20
 #: Bytes as the trigrams see them: letters and bytes of longer code points, everything else a blank.
 _SEEN = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint32)
@@ -59,9 +61,11 @@ def features(text: str) -> np.ndarray:
 def sample(docs: DataFrame, learnable: Column, per_lang: int = PER_LANG) -> DataFrame:
     """(lang, text): at most ``per_lang`` rows of a language."""
     rows = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    # one count per language; a share of the hash range, somewhat above what is needed, goes to the ranking
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("c"))
+    # one count per language; a share of the hash range, somewhat above what is needed, is all that leaves the scan
+    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("c")), "languages")
+    counts = F.broadcast(counts) if counts.count() <= LANGS else counts
     few = rows.join(counts, "lang").where(F.pmod("h", F.lit(1 << 30)) < (1 << 30) * F.least(F.lit(1.0), 2.0 * per_lang / F.col("c") + 20.0 / F.col("c")))
+    few = written(few.select("lang", "text", "h"), "drawn")  # about twice per_lang rows of a language
     best = W.partitionBy("lang").orderBy("h", "text")
     return few.withColumn("place", F.row_number().over(best)).where(F.col("place") <= per_lang).select("lang", "text")
 
