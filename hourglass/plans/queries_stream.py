@@ -7,19 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from ..streaming import streams as K
 from .queries import _LI_ORDER, _li_sql, _r, q
 
 
 #: Micro-batches that a landed backlog is read in, about.
 BATCHES = 6
+#: Parts of a year of deliveries that may go to different files; there are as many files as shuffle partitions.
+YEAR_PARTS = 4096
 
 
-def _landed(spark, df, name, split):
+def _landed(spark, df, name, split, n_files=None):
     """Land a table as a backlog of files; returns folder, schema and files a micro-batch."""
     base = K.scratch_dir(spark, f"land-{name}")
-    K.land_files(df, base, split)
-    return base, df.schema, max(1, len(spark.read.schema(df.schema).parquet(base).inputFiles()) // BATCHES)
+    K.land_files(df, base, split, n_files)
+    return base, df.schema, max(1, -(-len(spark.read.schema(df.schema).parquet(base).inputFiles()) // BATCHES))
 
 
 def _table(spark, sf, name):
@@ -63,7 +66,9 @@ def stream_evolving_schema(spark, sf):
 
 @q("stream_scd1", _li_sql("DESC"))
 def stream_scd1(spark, sf):
-    src, schema, files = _landed(spark, _table(spark, sf, "lineitem"), "lineitem", F.year("l_shipdate"))
+    # a year comes in many files and a batch has several, so that landing and merging spread over all tasks
+    part = F.struct(F.year("l_shipdate"), F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(YEAR_PARTS)))
+    src, schema, files = _landed(spark, _table(spark, sf, "lineitem"), "lineitem", part, shuffle_partitions(spark))
     out = K.scratch_dir(spark, "scd1")
     return K.scd1_stream(spark, src, schema, ["l_orderkey", "l_linenumber"], _LI_ORDER, out, out + "-ckpt", files)
 

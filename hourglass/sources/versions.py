@@ -25,7 +25,7 @@ import json
 import uuid
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -96,7 +96,7 @@ class VersionedTable:
         if state is None:
             return None
         parts = self._parts(state)
-        one = parts if not state["deltas"] else keep_latest(parts, key_cols, [*seq_cols, BATCH])
+        one = parts if not state["deltas"] else newest(parts, key_cols, [*seq_cols, BATCH])
         return one.drop(BATCH)
 
     # --- writing ----------------------------------------------------------
@@ -114,7 +114,7 @@ class VersionedTable:
                "deltas": [*(state["deltas"] if state else []), name], "schema": schema.jsonValue(), "extra": extra or {}}
         if len(new["deltas"]) >= self.max_deltas:
             base = f"base-{new['version']}-{uuid.uuid4().hex[:8]}"
-            keep_latest(self._parts(new), key_cols, [*seq_cols, BATCH]).write.parquet(f"{self.path}/{base}")
+            newest(self._parts(new), key_cols, [*seq_cols, BATCH]).write.parquet(f"{self.path}/{base}")
             new.update(base=base, deltas=[])
         self._commit(new)
         if not new["deltas"]:
@@ -148,6 +148,16 @@ class VersionedTable:
         return gone
 
 
+def newest(parts: DataFrame, key_cols: Sequence[str], seq_cols: Sequence[str]) -> DataFrame:
+    """Per key the row with the greatest ``seq_cols``, of folders that hold a key once each.
+
+    A key then has a row a folder at most, so nothing is gained by reducing
+    before the exchange, and no key makes a large window."""
+    later = Window.partitionBy(*key_cols).orderBy(*[F.col(c).asc_nulls_first() for c in seq_cols])
+    last = parts.withColumn("_hg_later", F.lead(F.lit(True)).over(later))
+    return last.where(F.col("_hg_later").isNull()).drop("_hg_later")
+
+
 def widened(old: StructType, new: StructType) -> StructType:
     """The old fields, then the fields that only ``new`` has."""
     return StructType([*old.fields, *(f for f in new.fields if f.name not in old.fieldNames())])
