@@ -14,7 +14,7 @@ from typing import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: eigenvalues below this share of the largest count as zero
@@ -22,10 +22,30 @@ TOLERANCE = 1e-9
 
 
 def scales(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Means and deviations of the columns over the given rows; a constant column has deviation 1."""
-    r = df.agg(*[F.avg(F.col(c).cast("double")) for c in cols], *[F.stddev_pop(F.col(c).cast("double")) for c in cols]).first()
-    v = np.array([np.nan if x is None else x for x in r], float)
-    mean, dev = np.nan_to_num(v[: len(cols)]), np.nan_to_num(v[len(cols):])
+    """Means and deviations of the columns over the given rows; a constant column has deviation 1.
+
+    Tasks give count, mean and squared deviations of each column's values;
+    these are merged around the common mean, a row a task and column."""
+    def run(batches):
+        n, mean, m2 = np.zeros((3, len(cols)))
+        for batch in batches:
+            for i in range(len(cols)):
+                x = batch.column(i).drop_null().to_numpy()
+                if len(x):
+                    own, total = x.mean(), n[i] + len(x)
+                    m2[i] += ((x - own) ** 2).sum() + (own - mean[i]) ** 2 * n[i] * len(x) / total
+                    mean[i] += (own - mean[i]) * len(x) / total
+                    n[i] = total
+        held = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), *(pa.array(v[held]) for v in (n, mean, m2))], names=["at", "n", "mean", "m2"])
+
+    parts = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).mapInArrow(run, "at int, n double, mean double, m2 double")
+    one = Window.partitionBy("at")
+    parts = parts.withColumn("total", F.sum("n").over(one)).withColumn("level", F.sum(F.col("n") * F.col("mean")).over(one) / F.col("total"))
+    square = F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("level")) ** 2) / F.first("total")
+    mean, dev = np.zeros((2, len(cols)))
+    for r in parts.groupBy("at").agg(F.first("level").alias("level"), F.sqrt(square).alias("dev")).collect():   # a row a column
+        mean[r.at], dev[r.at] = np.nan_to_num(r.level), np.nan_to_num(r.dev)
     return mean, np.where(dev > 0, dev, 1.0)
 
 
@@ -70,16 +90,18 @@ def solve(c: np.ndarray, b: np.ndarray, tolerance: float = TOLERANCE) -> tuple[n
     return v[:, keep] @ ((v[:, keep].T @ b) / w[keep]), int(keep.sum())
 
 
-def expanding_ols(df: DataFrame, fold: Column, k: int, features: Sequence[str], label: str) -> list[tuple[int, int, int, np.ndarray]]:
+def expanding_ols(df: DataFrame, fold: Column, k: int, features: Sequence[str], label: str,
+                  scale: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int, np.ndarray]]:
     """[(fold, training rows, rank, intercept and coefficients)] for folds 1..k.
 
     ``fold`` is 0 for rows that only train and f for the test rows of fold f;
     fold f trains on the complete rows of all earlier folds, by prefix sums of
     the Gramians.  Of equally good coefficients a fold takes those of the
-    least norm (in scaled columns); a fold without rows has none.
+    least norm (in scaled columns); a fold without rows has none.  ``scale`` may
+    give the :func:`scales` of features and label over the complete rows.
     """
     cols = [*features, label]
-    mean, dev = scales(df.na.drop(subset=cols), cols)
+    mean, dev = scale or scales(df.na.drop(subset=cols), cols)
     held = gramians(df, fold, cols, mean, dev)
     total = np.zeros((len(cols) + 1,) * 2)
     out = []

@@ -157,13 +157,20 @@ def series_blocks(df: DataFrame, order_col: str, skey: Sequence[str], num_blocks
     else:
         one = cuts.first()
         joined = keyed.withColumn("_hg_bounds", F.lit(one["_hg_bounds"])).withColumn("_hg_cuts", F.lit(one["_hg_cuts"]))
-    # range r holds the keys from bound r on, up to bound r + 1 (counted from 1)
-    key = F.col("_hg_okey")
-    r = F.size(F.filter("_hg_bounds", lambda b: b <= key))
-    lo, hi = F.get("_hg_bounds", r - 1), F.get("_hg_bounds", r)
-    part = F.try_divide(key - lo, hi - lo)
-    sub = F.when((part >= 0) & (part < 1), F.floor(part * F.col("_hg_cuts"))).otherwise(0)
-    out = joined.withColumn("_hg_blk", r.cast("long") * F.col("_hg_cuts") + sub.cast("long"))
+    # range r holds the keys from bound r on, up to bound r + 1 (counted from 1); the lambdas
+    # name values, so that each is evaluated once a row wherever the expression ends up
+    def named(value: Column, body) -> Column:
+        return F.get(F.transform(F.array(value), body), 0)
+
+    def cut(r: Column, part: Column) -> Column:
+        sub = F.when((part >= 0) & (part < 1), F.floor(part * F.col("_hg_cuts"))).otherwise(0)
+        return r.cast("long") * F.col("_hg_cuts") + sub.cast("long")
+
+    def inside(key: Column, r: Column) -> Column:
+        return named(F.get("_hg_bounds", r - 1), lambda lo: F.try_divide(key - lo, F.get("_hg_bounds", r) - lo))
+
+    out = joined.withColumn("_hg_blk", named(F.col("_hg_okey"), lambda key: named(
+        F.size(F.filter("_hg_bounds", lambda b: b <= key)), lambda r: named(inside(key, r), lambda part: cut(r, part)))))
     return out.drop("_hg_okey", "_hg_bounds", "_hg_cuts"), total, True
 
 

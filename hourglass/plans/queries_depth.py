@@ -10,7 +10,7 @@ from ..operators import folds as FO
 from ..operators import gramian as G
 from ..operators import metrics as E
 from ..operators import series as S
-from ..session import checkpoint_once
+from ..session import stored
 from . import inputs as I
 from .queries import H, IV, _r, q
 from .queries_decision import OVERRIDE_T, _FOLD_SQL, _folded, _report_sql
@@ -67,13 +67,14 @@ FROM (SELECT count(*) AS n FROM w) nn, range(1, 5) r(f)""",
 def wide_fold_ols(spark, sf):
     """43 features, one of them twice another: least squares of every fold from one pass, with its rank and
     the largest remaining correlation of a feature with the residuals (0 at the least squares)."""
-    ev = I.intervals(spark, sf).select("event_id", "ts", "rt", "prc")
+    ev = stored(I.intervals(spark, sf).select("event_id", "ts", "rt", "prc"))   # positions read it more than once
     specs = [S.Lag(c, k, f"{c}_lag{k}") for c in ("rt", "prc") for k in range(1, WIDE_LAGS + 1)]
     wide = S.add_series_features(ev, specs, ["ts", "event_id"], keep_pos=False)
     wide = wide.withColumn("hour", F.hour("ts").cast("double")).withColumn("day_of_week", F.weekday("ts").cast("double"))
     wide = wide.withColumn("twice_hour", F.col("hour") * 2).na.drop(subset=[*WIDE, "prc"])
-    g = checkpoint_once(FO.time_folds(wide, ["ts", "event_id"], 4)[0])       # prepared once for all passes
-    fits = G.expanding_ols(g, F.col("fold"), 4, WIDE, "prc")
+    g = FO.time_folds(stored(wide), ["ts", "event_id"], 4)[0]                # prepared once for the bounds and all passes
+    mean, dev = G.scales(g, [*WIDE, "prc"])
+    fits = G.expanding_ols(g, F.col("fold"), 4, WIDE, "prc", (mean, dev))
     # the residuals of all folds against all features, in one more pass over the rows
     left = []
     for f, _, _, beta in fits:
@@ -81,7 +82,6 @@ def wide_fold_ols(spark, sf):
         for c, b in zip(WIDE, beta[1:]):
             fitted = fitted + F.col(c) * float(b)
         left.append((F.col("prc") - fitted).alias(f"left{f}"))
-    mean, dev = G.scales(g, [*WIDE, "prc"])
     names = [f"left{f}" for f, *_ in fits]
     held = G.gramians(g.select("fold", *WIDE, *left), F.col("fold"), [*WIDE, *names], np.r_[mean[:-1], np.zeros(len(names))], np.r_[dev[:-1], np.full(len(names), dev[-1])])
     rows = []
