@@ -17,7 +17,7 @@ from ..operators import folds as FO
 from ..operators import metrics as E
 from ..operators import models as M
 from ..operators import series as S
-from ..session import checkpoint_once
+from ..session import checkpoint_once, stored
 from ..sources import sinks
 from ..streaming.streams import scratch_dir
 from . import inputs as I
@@ -232,9 +232,9 @@ def score_batch_coverage(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _folded_complete(spark, sf, feats, k):
-    """The complete rows with their fold, prepared once for all fits."""
-    mt = M.complete_rows(model_table(spark, sf).drop("pos"), [*feats, "regime"])
-    return checkpoint_once(FO.time_folds(mt, ["ts", "event_id"], k)[0])
+    """The complete rows with their fold, prepared once for the fold bounds and all fits."""
+    mt = stored(M.complete_rows(model_table(spark, sf).drop("pos"), [*feats, "regime"]))
+    return FO.time_folds(mt, ["ts", "event_id"], k)[0]
 
 
 def _oof(spark, sf):

@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourglass.operators import gramian as G
 from hourglass.plans import inputs as I
 from hourglass.plans import queries_depth as QD
+from hourglass.plans import queries_models as QM
 
 
 def _events(spark, path, n=900):
@@ -29,6 +31,16 @@ def _counted(spark, df):
     return df.mapInArrow(run, df.schema), seen
 
 
+@pytest.mark.parametrize("name", ["oof_scored_rows"])
+def test_model_table_is_computed_once(spark, tmpdir_path, monkeypatch, name):
+    mt = QM.model_table(spark, _events(spark, tmpdir_path))
+    n = mt.count()
+    counted, seen = _counted(spark, mt)
+    monkeypatch.setattr(QM, "model_table", lambda *_: counted)
+    assert QM.__dict__[name](spark, tmpdir_path).count() > 0
+    assert seen.value == n
+
+
 def test_wide_least_squares_reads_the_intervals_once(spark, tmpdir_path, monkeypatch):
     iv = I.intervals(spark, _events(spark, tmpdir_path))
     n = iv.count()
