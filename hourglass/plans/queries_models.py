@@ -92,9 +92,9 @@ def fold_ols(spark, sf):
 
 @q("residual_ensemble")
 def residual_ensemble(spark, sf):
-    mt = model_table(spark, sf)
     feats = M.feature_set("prc_1h")
-    train, test = mt.where(_before("ts", TRAIN_END)), M.complete_rows(mt.where(~_before("ts", TRAIN_END)), feats)
+    mt = stored(M.complete_rows(model_table(spark, sf), feats).select("ts", "prc", *feats))   # read by three fits and two scorings
+    train, test = mt.where(_before("ts", TRAIN_END)), mt.where(~_before("ts", TRAIN_END))
     lin = M.fit_linear(train, feats, "prc")
     ens = M.fit_residual_ensemble(train, feats, "prc")
     a = E.mae_rmse(lin.transform(test), "prc", "prediction").withColumn("model", F.lit("linear"))

@@ -31,7 +31,7 @@ def _counted(spark, df):
     return df.mapInArrow(run, df.schema), seen
 
 
-@pytest.mark.parametrize("name", ["oof_scored_rows", "grid_search"])
+@pytest.mark.parametrize("name", ["oof_scored_rows", "grid_search", "residual_ensemble"])
 def test_model_table_is_computed_once(spark, tmpdir_path, monkeypatch, name):
     mt = QM.model_table(spark, _events(spark, tmpdir_path))
     n = mt.count()
