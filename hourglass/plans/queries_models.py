@@ -233,7 +233,8 @@ def score_batch_coverage(spark, sf):
 
 def _folded_complete(spark, sf, feats, k):
     """The complete rows with their fold, prepared once for the fold bounds and all fits."""
-    mt = stored(M.complete_rows(model_table(spark, sf).drop("pos"), [*feats, "regime"]))
+    whole = M.complete_rows(model_table(spark, sf), [*feats, "regime"]).select("event_id", "ts", *feats, "regime")
+    mt = checkpoint_once(whole)   # keeps rows and partitions in place, which the forests' bags depend on
     return FO.time_folds(mt, ["ts", "event_id"], k)[0]
 
 
