@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ._shared import ship
+from ._shared import bounded_batches, released, ship
 
 #: The published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -215,6 +215,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     with fs.open_input_file(path) as f:
         raw = spark.sparkContext.broadcast(f.read())
     ship(spark)
+    bounded_batches(spark)
     fields = [docs.schema[c] for c in keep]
     src = docs.select(*keep, docs["text"].alias("_text"))
     schema = "".join(f"`{x.name}` {x.dataType.simpleString()}, " for x in fields) + "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
@@ -238,4 +239,4 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
                     yield pa.RecordBatch.from_arrays(cols, names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
                     rows, first, size = [], i + 1, 0
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(released(run), schema)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import key_filter, may_hold, mix64, released, ship, written
+from ._shared import bounded_batches, key_filter, may_hold, mix64, released, ship, written
 
 BANDS, ROWS = 32, 5
 PERMS = BANDS * ROWS
@@ -139,6 +139,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.binary()), pa.array(sig, pa.binary())],
                                                  names=["doc_id", "text_key", "n", "cid", "sig"])
 
+    bounded_batches(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
     return src.mapInArrow(released(run), "doc_id long, text_key binary, n long, cid binary, sig binary")
 

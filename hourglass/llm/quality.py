@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import SPACES, ship, written
+from ._shared import SPACES, bounded_batches, released, ship, written
 
 #: Allowed false rejections of good documents per stratum, over all rules.
 ALPHA = 0.02
@@ -108,6 +108,7 @@ def measured(src: DataFrame) -> DataFrame:
     The texts are the column ``_text``, which is dropped, or the field text of a column ``row``.
     """
     ship(src.sparkSession)
+    bounded_batches(src.sparkSession)
     cols = [c for c in src.columns if c != "_text"]
     schema = T.StructType([*(src.schema[c] for c in cols), *(T.StructField(c, T.LongType()) for c in BASE), T.StructField("_cells", T.ArrayType(T.IntegerType()))])
 
@@ -121,7 +122,7 @@ def measured(src: DataFrame) -> DataFrame:
             out.append(pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * len(RULES)), pa.array(cells.ravel())))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(released(run), schema)
 
 
 def _log_tail(k: int, n: int, p: float) -> float:
